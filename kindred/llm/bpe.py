@@ -2,14 +2,16 @@
 
 A sequence of tokens is the one that the merges give exactly if every token is
 its own encoding and every two neighbours are the encoding of their
-concatenation. So the encoder is a nondeterministic transducer over bytes whose
-state is the token before and the place in a trie of the tokens: at the end of
-a token it may go on in the trie or start the next token, if the two agree. For
-every input exactly one path is right. ``Transducer`` determinises it lazily: a
-state is the set of paths that are still possible, each with the tokens that it
-has not given out yet; tokens that all paths share are given out at once. A few
-bytes of lookahead leave one path, so the sets stay small. Transitions are kept
-by (state, byte), in tables of bounded size.
+concatenation. So the encoder is a nondeterministic transducer over bytes: a
+path is a place in a trie of the tokens and the token before it; at the end of
+a token it may go on in the trie or start the next token, if the two agree.
+``Transducer`` determinises it lazily: a state is the set of trie places that
+are open, from the longest to the shortest, and a step gives the next state and
+the tokens that may end there; both are kept by (state, byte). The token before
+each open path is a register: for every prefix of the input one token is its
+last, the one that agrees with the last token of the prefix that it leaves.
+What all open paths have in common is certain and is given out, so the
+lookahead is no longer than the longest token that is open.
 
 ``StreamDecoder`` turns ids into text as they come: a state machine over the
 bytes holds back the bytes of an unfinished character.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -28,8 +31,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Transitions and words that a worker keeps; beyond that its tables start anew.
-MAX_STATES, MAX_WORDS = 200_000, 400_000
+#: Pairs of tokens and words that a worker keeps; beyond that a table starts anew. States are no more than trie places.
+MAX_PAIRS, MAX_WORDS = 1_000_000, 700_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,7 +50,8 @@ class Transducer:
             raise ValueError("the ranks must have all single bytes")
         self.children: list[dict[int, int]] = [{}]  # the trie of tokens that are their own encoding
         self.ends: list[int] = [-1]
-        self.agreed: dict[tuple[int, int], bool] = {}
+        self.agreed: list[dict[int, bool]] = [{} for _ in range(max(ranks.values()) + 1)]  # by the first token
+        self.pairs = 0
         self.halves: dict[int, tuple[int, int]] = {}  # the two tokens whose merge makes a token
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
@@ -64,13 +68,10 @@ class Transducer:
                         self.ends.append(-1)
                     at = nxt
                 self.ends[at] = rank
-        self.restart()
-
-    def restart(self) -> None:
-        # A state: the paths (trie place, token before, tokens not given out yet).
-        self.states: list[tuple] = [((0, -1, ()),)]
-        self.number: dict[tuple, int] = {self.states[0]: 0}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        # A state: the open trie places as (place, length), the longest first. A step: the next state and (length, token) of what may end there.
+        self.states: list[tuple] = [()]
+        self.number: dict[tuple, int] = {(): 0}
+        self.steps: list[dict[int, tuple[int, tuple[tuple[int, int], ...]]]] = [{}]
 
     def merged(self, piece: bytes, below: int = 1 << 60) -> list[int]:
         """The rule itself, by ranks under ``below`` and lowest first: what the transducer is built from."""
@@ -82,13 +83,16 @@ class Transducer:
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return [self.ranks[p] for p in parts]
 
-    def agree(self, a: int, b: int) -> bool:
+    def agree(self, before: int, token: int) -> bool:
         """Whether two tokens may stand side by side."""
-        known = self.agreed.get((a, b))
+        known = self.agreed[before].get(token)
         if known is None:
-            if len(self.agreed) > 1_000_000:
-                self.agreed.clear()
-            known = self.agreed[a, b] = a < 0 or not self.crossed(a, b)
+            self.pairs += 1
+            if self.pairs > MAX_PAIRS:
+                self.pairs = 1
+                for row in self.agreed:
+                    row.clear()
+            known = self.agreed[before][token] = not self.crossed(before, token)
         return known
 
     def crossed(self, a: int, b: int) -> bool:
@@ -115,52 +119,90 @@ class Transducer:
             else:
                 return False
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and the tokens that are certain now; works it out once for a state and byte."""
-        paths = []
-        for place, before, held in self.states[state]:
+    def step(self, state: int, byte: int) -> tuple[int, tuple[tuple[int, int], ...]]:
+        """Works out what a byte does to a state, once for both."""
+        open_, ends = [], []
+        for place, length in (*self.states[state], (0, 0)):
             nxt = self.children[place].get(byte)
             if nxt is not None:
-                paths.append((nxt, before, held))
-            end = self.ends[place] if place else -1
-            if end >= 0 and self.agree(before, end):
-                nxt = self.children[0][byte]
-                paths.append((nxt, end, (*held, end)))
-        given: list[int] = []
-        if paths:
-            first = min((p[2] for p in paths), key=len)
-            shared = 0
-            while shared < len(first) and all(p[2][shared] == first[shared] for p in paths):
-                shared += 1
-            given = list(first[:shared])
-            paths = [(a, b, held[shared:]) for a, b, held in paths]
-        key = tuple(sorted(paths))
+                if self.children[nxt]:
+                    open_.append((nxt, length + 1))
+                if self.ends[nxt] >= 0:
+                    ends.append((length + 1, self.ends[nxt]))
+        key = tuple(open_)
         to = self.number.get(key)
         if to is None:
             to = self.number[key] = len(self.states)
             self.states.append(key)
             self.steps.append({})
-        found = self.steps[state][byte] = (to, tuple(given))
+        found = self.steps[state][byte] = (to, tuple(ends))
         return found
 
+    def read(self, byte: int, state: int, last: list[int]) -> int:
+        """Reads one byte: appends the last token of the longer prefix and gives the next state."""
+        state, ends = self.steps[state].get(byte) or self.step(state, byte)
+        for length, token in ends:
+            before = last[-length]
+            if before < 0:
+                break
+            if self.agree(before, token):
+                break
+        else:
+            raise AssertionError("no token ends here")
+        last.append(token)
+        return state
+
+    def back(self, last: list[int], at: int, to: int = 0) -> list[int]:
+        """The tokens of the prefix of length ``at`` from the bound ``to`` on."""
+        out = []
+        while at > to:
+            out.append(last[at])
+            at -= len(self.token[last[at]])
+        return out[::-1] if at == to else []
+
     def encode(self, piece: bytes) -> list[int]:
-        """The ids of one piece of text, read byte by byte."""
-        if len(self.states) > MAX_STATES:
-            self.restart()
-        out: list[int] = []
-        state, steps = 0, self.steps
-        for byte in piece:
-            known = steps[state].get(byte) or self.step(state, byte)
-            state = known[0]
-            if known[1]:
-                out.extend(known[1])
-        for place, before, held in self.states[state]:
-            end = self.ends[place] if place else -1
-            if end >= 0 and self.agree(before, end):
-                return [*out, *held, end]
-        if piece:
-            raise AssertionError("no path through the transducer")
-        return out
+        """The ids of one piece of text."""
+        return next(self.encode_sorted([piece]))
+
+    def encode_sorted(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
+        """The ids of each piece, read byte by byte; what a piece shares with the one before it isn't read again."""
+        last, states, steps, agreed, before_it = [-1], [0], self.steps, self.agreed, b""
+        for piece in pieces:
+            at = 0
+            for x, y in zip(piece, before_it, strict=False):
+                if x != y:
+                    break
+                at += 1
+            del last[at + 1 :], states[at + 1 :]
+            state, before_it = states[at], piece
+            for byte in piece[at:]:  # as read() does it, without a call for each byte
+                state, ends = steps[state].get(byte) or self.step(state, byte)
+                for length, token in ends:
+                    before = last[-length]
+                    if before < 0:
+                        break
+                    known = agreed[before].get(token)
+                    if known or known is None and self.agree(before, token):
+                        break
+                last.append(token)
+                states.append(state)
+            yield self.back(last, len(piece))
+
+    def stream(self, data: Iterable[bytes]) -> Iterator[int]:
+        """The ids of one piece that comes in parts, each given out as soon as all open paths share it."""
+        last, state, given = [-1], 0, 0
+        for part in data:
+            for byte in part:
+                state = self.read(byte, state, last)
+                at = len(last) - 1
+                paths = [self.back(last, at - length, given) for _, length in self.states[state] if at - length >= given]
+                paths.append(self.back(last, at, given))
+                for ids in zip(*paths, strict=False):
+                    if len(set(ids)) > 1:
+                        break
+                    given += len(self.token[ids[0]])
+                    yield ids[0]
+        yield from self.back(last, len(last) - 1, given)
 
 
 #: Bytes that follow a first byte, by its high five bits; -1 where none can start.
@@ -194,26 +236,43 @@ class StreamDecoder:
         return data.decode("utf-8", "replace")
 
 
+#: For texts of these characters alone, PLAIN splits as the public pattern does: the two classes of letters agree on them.
+COMMON = re.compile("[^\\t\\n\\r -~\\xa1-\\xb1\\xb4-\\xb8\\xba\\xbb\\xbf-\u02af\u2010-\u2027\u20ac]")
+PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+
+
 class Tokenizer:
-    """Splits texts by a pattern and encodes each match; keeps the words that it met."""
+    """Splits texts by a pattern and encodes each match; keeps what the transducer gave for the matches that it met."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        import public_tokenizers
         import regex
 
         self.machine = Transducer(ranks)
-        self.split = regex.compile(pattern).findall
+        self.full = regex.compile(pattern).findall
+        self.public = pattern == public_tokenizers.PATTERN
         self.token = self.machine.token
         self.known: dict[str, list[int]] = {}
 
-    def word(self, piece: str) -> list[int]:
-        if len(self.known) >= MAX_WORDS:
-            self.known.clear()
-        found = self.known[piece] = self.machine.encode(piece.encode("utf-8", "surrogatepass"))
-        return found
+    def split(self, text: str) -> list[str]:
+        return PLAIN.findall(text) if self.public and not COMMON.search(text) else self.full(text)
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; matches that are new to the table are encoded in one go, sorted."""
+        matches = [self.split(t) for t in texts]
+        known = self.known
+        new = set().union(*matches).difference(known)
+        if len(known) + len(new) > MAX_WORDS:
+            wanted = set().union(*matches)
+            self.known = known = {k: v for k, v in known.items() if k in wanted}
+        pieces = sorted(w.encode("utf-8", "surrogatepass") for w in new)
+        for piece, ids in zip(pieces, self.machine.encode_sorted(pieces), strict=True):
+            known[piece.decode("utf-8", "surrogatepass")] = ids
+        for one in matches:
+            yield list(chain.from_iterable(map(known.__getitem__, one)))
 
     def encode(self, text: str) -> list[int]:
-        known, word = self.known.get, self.word
-        return list(chain.from_iterable([known(p) or word(p) for p in self.split(text)]))
+        return next(self.encode_all([text]))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -248,7 +307,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     def run(batches):
         use = tokenizer(sent.value, pattern)
         for batch in common.pieces(batches, len(keep)):
-            ids = [use.encode(t or "") for t in batch.column(len(keep)).to_pylist()]
+            ids = list(use.encode_all([t or "" for t in batch.column(len(keep)).to_pylist()]))
             decoded = []
             for one in ids:
                 stream = StreamDecoder(use.token)
@@ -270,8 +329,7 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
         digits = {i: str(i) for i in use.token}
         for batch in common.pieces(batches, 1):
             n, a, b = [], [], []
-            for one in batch.column(1).to_pylist():
-                ids = use.encode(one or "")
+            for ids in use.encode_all([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids))
                 a.append(hashlib.sha256(",".join(map(digits.__getitem__, ids)).encode()).hexdigest())
                 stream, total = StreamDecoder(use.token), hashlib.sha256()
