@@ -317,7 +317,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
                 [*keep, "ids", "n_tokens", "decoded"],
             )
 
-    return rows.mapInArrow(run, f"{schema}, ids array<int>, n_tokens long, decoded string")
+    return common.arrow(rows, run, f"{schema}, ids array<int>, n_tokens long, decoded string")
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -339,7 +339,7 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
                 b.append(total.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return common.arrow(docs.select("doc_id", F.col(text).alias("text")), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def vocabulary() -> tuple[dict[bytes, int], str]:

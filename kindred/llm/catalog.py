@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprint, mixing
+from . import ann, bpe, fingerprint, langid, linededup, minhash, mixing
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (bpe.op2_bpe, mixing.op5_mixing, fingerprint.op6_fingerprint)}
+    return {f.__name__: f for f in (langid.op1_langid, bpe.op2_bpe, linededup.op3_linededup, minhash.op4_minhash, mixing.op5_mixing, fingerprint.op6_fingerprint, ann.op9_ann)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_minhash": minhash.SQL}
