@@ -266,22 +266,18 @@ def units(column: pa.Array):
     return hashes, text, word
 
 
-def summary(text: np.ndarray, which: np.ndarray, margin: np.ndarray, n: int) -> np.ndarray:
-    """For each text: its largest margin, the second largest of a different word, and how much lies above 0."""
+def summary(text: np.ndarray, margin: np.ndarray, n: int) -> np.ndarray:
+    """For each text: its largest margin, the second largest, and how much lies above 0."""
     out = np.full((n, 3), -8.0)
     out[:, 2] = 0
-    order = np.lexsort((which, -margin, text))
-    text, which, margin = text[order], which[order], margin[order]
-    first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])) if len(text) else np.zeros(0, np.int64)
-    out[text[first], 0] = margin[first]
-    other = np.ones(len(text), dtype=bool)
-    start = np.repeat(first, np.diff(np.append(first, len(text))))
-    other = which != which[start] if len(text) else other
-    rest = np.flatnonzero(other)
-    second = rest[np.concatenate([[True], text[rest][1:] != text[rest][:-1]])] if len(rest) else rest
-    out[text[second], 1] = margin[second]
-    above = np.bincount(text, weights=np.maximum(margin, 0), minlength=n)
-    out[:, 2] = np.log1p(above)
+    if len(text):
+        margin = margin[np.lexsort((-margin, text))]
+        text = np.sort(text)
+        first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+        out[text[first], 0] = margin[first]
+        second = first[np.diff(np.append(first, len(text))) > 1] + 1
+        out[text[second], 1] = margin[second]
+        out[:, 2] = np.log1p(np.bincount(text, weights=np.maximum(margin, 0), minlength=n))
     return out
 
 
@@ -348,7 +344,7 @@ def learn(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
                 x_more = x_more[x_more @ model.weights[:-1] + model.weights[-1] > 0.3]
                 x_bad, each = np.concatenate([x_bad, x_more]), np.r_[each, np.ones(len(x_more))]
     margin = model.margins([word(i) for i in at])
-    model.text = samples.logistic(summary(text, which, margin[which], len(texts)), (labels > 0).astype(float), ridge=1.0)
+    model.text = samples.logistic(summary(text, margin[which], len(texts)), (labels > 0).astype(float), ridge=1.0)
     return model
 
 
@@ -375,7 +371,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
                     every = np.concatenate([known, distinct[~hit]])
                     order = np.argsort(every, kind="stable")
                     known, value = every[order], np.concatenate([value, margin[~hit]])[order]
-                p = model.probability(summary(of, which, margin[which], n))
+                p = model.probability(summary(of, margin[which], n))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return common.arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, "doc_id long, score double, predicted int")
