@@ -1,11 +1,302 @@
-"""The queries of the library and the SQL that each must equal."""
+"""The queries of the library and the SQL that each must equal.
+
+Queries run over two entity views of whole tables (``entities``). Both sides
+write lists as joined strings and round quotients.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kindred.functions import text as X
+from kindred.operators import blocking as B
+from kindred.operators import evaluate as E
+from kindred.operators import features, matcher, score
+from kindred.operators.representation import represent
+from kindred.sources import tsv
+from kindred.streaming import incremental
+
+from . import entities as V
+
+#: The cap of the capped queries: low, so that it takes effect on the driver's tables.
+CAP = 5
+STRATEGIES = ("S1", "S2", "S3", "S4", "S5", "S6", "S7")
+
+
+def _reps(spark: SparkSession, sf_dir: str, view: str) -> tuple[DataFrame, DataFrame]:
+    """Represented queries and targets; kept, as every strategy reads them and the UDFs should run once."""
+    queries, targets = V.sides(V.entities(spark, sf_dir, view))
+    return represent(queries).persist(), represent(targets).persist()
+
+
+def _pairs(spark: SparkSession, sf_dir: str, view: str = "part") -> DataFrame:
+    return B.ranked(B.hits(*_reps(spark, sf_dir, view)))
+
+
+def _folder(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
+    return f"{base.rstrip('/')}/kindred-{uuid.uuid4().hex}"
+
+
+def _join(column: str):
+    return F.array_join(column, ",")
+
+
+def representations(spark, sf_dir, view="documents"):
+    rep = represent(V.entities(spark, sf_dir, view))
+    return rep.select("eid", "norm_name", "norm_name_af", "core_name", "core_name_af", "squash", "country", _join("toks").alias("toks"), _join("addr_nums").alias("addr_nums"), _join("pins").alias("pins"), F.size("addr_toks").alias("n_addr_toks"), F.size("trigrams").alias("n_trigrams"))
+
+
+def split_buckets(spark, sf_dir):
+    return V.entities(spark, sf_dir).select("entity_id", X.bucket(F.col("entity_id")).alias("bucket"))
+
+
+def tsv_round_trip(spark, sf_dir):
+    path = _folder(spark)
+    tsv.write_entities(V.entities(spark, sf_dir, "documents"), path)
+    return tsv.entities(spark, path)
+
+
+def id_list_round_trip(spark, sf_dir):
+    path = _folder(spark)
+    ids = V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id"))
+    tsv.write_id_lists(E.gathered(ids, V.truth(spark, sf_dir)), path)
+    return tsv.id_sets(spark, path).select("id", _join("members").alias("members"))
+
+
+def store_lookup(spark, sf_dir):
+    store = tsv.write_store(V.entities(spark, sf_dir), _folder(spark))
+    return tsv.lookup(store, V.truth(spark, sf_dir).select("eid").distinct())
+
+
+def posting_sizes(spark, sf_dir):
+    _, targets = _reps(spark, sf_dir, "part")
+    out = None
+    for index in ("name", "core", "token", "addr", "addrnum"):
+        one = B.posting_sizes(B.keys(targets, index)).select(F.lit(index).alias("posting"), F.array_join("key", "|").alias("key"), "country", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def posting_stats(spark, sf_dir):
+    _, targets = _reps(spark, sf_dir, "part")
+    return E.posting_stats(B.posting_sizes(B.keys(targets, "token"))).select("ids", "total", "median", "p95", "max")
+
+
+def pruned_postings(spark, sf_dir, most=3):
+    _, targets = _reps(spark, sf_dir, "part")
+    return B.posting_sizes(B.gated(B.keys(targets, "addrnum"), most)).select(F.array_join("key", "|").alias("key"), "country", "n")
+
+
+def pruned_targets(spark, sf_dir, most=3):
+    return B.dropped(B.keys(_reps(spark, sf_dir, "part")[1], "addrnum"), most)
+
+
+def known_countries(spark, sf_dir):
+    return _reps(spark, sf_dir, "part")[1].select("country").distinct()
+
+
+def _strategy(name, view):
+    def query(spark, sf_dir):
+        return B.strategy(name, *_reps(spark, sf_dir, view)).groupBy("s1_id", "eid").agg(F.count("*").alias("hits"), F.sum("score").alias("score"))
+
+    return query
+
+
+def candidates_ranked(spark, sf_dir, view="part"):
+    return _pairs(spark, sf_dir, view)
+
+
+def candidates_ranked_documents(spark, sf_dir):
+    return _pairs(spark, sf_dir, "documents")
+
+
+def candidates_capped(spark, sf_dir):
+    queries, targets = _reps(spark, sf_dir, "part")
+    pairs = B.capped(B.ranked(B.hits(queries, targets)), CAP)
+    return E.gathered(queries.select(F.col("eid").alias("s1_id")), pairs).select("id", _join("members").alias("members"))
+
+
+def strategy_counts(spark, sf_dir):
+    return B.strategy_counts(B.capped(_pairs(spark, sf_dir), CAP))
+
+
+def config_sweep(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    queries = V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id"), "country")
+    out = None
+    for cap in (None, 2 * CAP, CAP):
+        one = E.recall(queries, V.truth(spark, sf_dir), B.capped(pairs, cap)).where("scope = 'all'").select(F.lit(cap or 0).alias("cap"), "n_true", "n_found", F.round("recall", 6).alias("recall"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def strategy_audit(spark, sf_dir):
+    return B.audit(B.hits(*_reps(spark, sf_dir, "part")), V.truth(spark, sf_dir))
+
+
+def recall(spark, sf_dir):
+    queries = V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id"), "country")
+    out = E.recall(queries, V.truth(spark, sf_dir), B.capped(_pairs(spark, sf_dir), CAP))
+    return out.select("scope", "value", "n_true", "n_found", "ids", "all_found", F.round("recall", 6).alias("recall"))
+
+
+def candidate_sizes(spark, sf_dir):
+    queries = V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id"))
+    out = E.sizes(queries, _pairs(spark, sf_dir))
+    return out.select("ids", "total", "median", "p95", "max", F.round("mean", 6).alias("mean"), F.round("file_mb", 4).alias("file_mb"))
+
+
+def missed_pairs(spark, sf_dir):
+    return E.missed(V.truth(spark, sf_dir), B.ranked(B.strategy("S1", *_reps(spark, sf_dir, "part"))))
+
+
+def missed_diagnosis(spark, sf_dir):
+    queries, targets = _reps(spark, sf_dir, "part")
+    return E.diagnosis(E.missed(V.truth(spark, sf_dir), B.ranked(B.strategy("S1", queries, targets))), queries, targets)
+
+
+def _featured(spark, sf_dir, view="part", exact=False):
+    queries, targets = _reps(spark, sf_dir, view)
+    pairs = B.capped(B.ranked(B.hits(queries, targets)), CAP).select("s1_id", "eid")
+    return features.pair_features(pairs, queries, targets, exact_edits=exact)
+
+
+def pair_features(spark, sf_dir):
+    return _featured(spark, sf_dir).select("s1_id", "eid", *[F.round(c, 6).alias(c) for c in features.NAMES])
+
+
+def pair_features_exact(spark, sf_dir):
+    return _featured(spark, sf_dir, "documents", exact=True).select("s1_id", "eid", F.round("levenshtein_ratio", 6).alias("levenshtein_ratio"))
+
+
+def _scored(spark, sf_dir):
+    ids = V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id"))
+    true = V.truth(spark, sf_dir)
+    chosen = matcher.linear(_featured(spark, sf_dir)).where("p >= 0.6")
+    return score.per_entity(E.gathered(ids, true), E.gathered(ids, chosen))
+
+
+def labelled_pairs(spark, sf_dir):
+    return score.labelled(_featured(spark, sf_dir).select("s1_id", "eid"), V.truth(spark, sf_dir))
+
+
+def entity_scores(spark, sf_dir):
+    return _scored(spark, sf_dir).withColumn("f05", F.round("f05", 6))
+
+
+def score_breakdown(spark, sf_dir):
+    return score.breakdown(_scored(spark, sf_dir)).withColumn("macro_f05", F.round("macro_f05", 6))
+
+
+def _swept(spark, sf_dir):
+    ids = V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id"))
+    return score.sweep(ids, V.truth(spark, sf_dir), matcher.linear(_featured(spark, sf_dir)).select("s1_id", "eid", "p"))
+
+
+def threshold_sweep(spark, sf_dir):
+    return _swept(spark, sf_dir).select("tau", F.round("macro_f05", 6).alias("macro_f05"), F.round("singleton_f05", 6).alias("singleton_f05"))
+
+
+def best_threshold(spark, sf_dir):
+    return score.best(threshold_sweep(spark, sf_dir)).select("tau", "macro_f05")
+
+
+def _truth_lists(spark, sf_dir):
+    return E.gathered(V.sides(V.entities(spark, sf_dir))[0].select(F.col("entity_id").alias("s1_id")), V.truth(spark, sf_dir))
+
+
+def match_histogram(spark, sf_dir):
+    return E.match_histogram(_truth_lists(spark, sf_dir)).withColumn("percent", F.round("percent", 6))
+
+
+def match_stats(spark, sf_dir):
+    return E.match_stats(_truth_lists(spark, sf_dir)).withColumn("mean", F.round("mean", 6))
+
+
+def split_summary(spark, sf_dir):
+    side = F.when(X.bucket(F.col("id")) < 20, "validation").otherwise("train")
+    return E.split_summary(_truth_lists(spark, sf_dir), side)
+
+
+def country_counts(spark, sf_dir):
+    return E.countries(V.entities(spark, sf_dir, "documents"))
+
+
+def missing_fields(spark, sf_dir):
+    return E.missing_fields(V.entities(spark, sf_dir, "documents").withColumn("business_address", F.when(F.length("business_address") > 12, F.col("business_address"))))
+
+
+def pilot_sample(spark, sf_dir, most=50):
+    ids = V.sides(V.entities(spark, sf_dir))[0].where(X.bucket(F.col("entity_id")) < 20).select("entity_id")
+    return ids.orderBy("entity_id").limit(most)
+
+
+def set_tests(spark, sf_dir):
+    """Training and validation ids: common ones, and those in neither."""
+    ids = V.sides(V.entities(spark, sf_dir))[0].select("entity_id", (X.bucket(F.col("entity_id")) < 20).alias("validation"))
+    a, b = ids.where("NOT validation").select("entity_id"), ids.where("validation").select("entity_id")
+    both, neither = a.intersect(b), ids.select("entity_id").exceptAll(a.union(b))
+    return both.agg(F.count("*").alias("common")).crossJoin(neither.agg(F.count("*").alias("neither")))  # one row each
+
+
+def remaining_ids(spark, sf_dir):
+    lists = _truth_lists(spark, sf_dir)
+    return E.remaining(lists.select(F.col("id").alias("s1_id")), lists.where("size(members) > 0"))
+
+
+def consistent_fallback(spark, sf_dir):
+    """Matches that lack the ids with p_partkey 600 and beyond, candidates whole."""
+    lists = _truth_lists(spark, sf_dir)
+    ids = lists.select(F.col("id").alias("s1_id"), F.substring("id", 4, 10).cast("long").alias("at"))
+    out = E.fallback(ids, lists.where("id < 'S1-0000000600'"), lists)
+    return out.select("s1_id", _join("members").alias("members"), _join("candidates").alias("candidates"))
+
+
+def result_checks(spark, sf_dir):
+    queries, targets = _reps(spark, sf_dir, "part")
+    ids = queries.select(F.col("eid").alias("s1_id"))
+    pairs = B.capped(B.ranked(B.hits(queries, targets)), CAP)
+    chosen = matcher.linear(features.pair_features(pairs.select("s1_id", "eid"), queries, targets, exact_edits=False)).where("p >= 0.6")
+    return E.checks(ids, E.gathered(ids, chosen), E.gathered(ids, pairs))
+
+
+def matched_trees(spark, sf_dir, rounds=10):
+    """Pairs with the probability of a model trained on the pairs of training ids."""
+    featured = score.labelled(_featured(spark, sf_dir), V.truth(spark, sf_dir))
+    model = matcher.fit(featured.where(X.bucket(F.col("s1_id")) >= 20), rounds)
+    return matcher.predict(model, featured).select("s1_id", "eid", "label", F.round("p", 4).alias("p"))
+
+
+def linked_incrementally(spark, sf_dir):
+    """Entities linked in micro-batches, read from files."""
+    queries, targets = V.sides(V.entities(spark, sf_dir))
+    folder = _folder(spark)
+    tsv.write_entities(queries.repartition(2), f"{folder}/in")
+    incremental.run(spark, f"{folder}/in", represent(targets), f"{folder}/out", f"{folder}/checkpoint", most=CAP, threshold=0.6)
+    return incremental.done(spark, f"{folder}/out").select("id", _join("members").alias("members"), _join("candidates").alias("candidates"))
+
+
+NAMED = (
+    representations, split_buckets, tsv_round_trip, id_list_round_trip, store_lookup, posting_sizes, posting_stats, pruned_postings, pruned_targets, known_countries,
+    candidates_ranked, candidates_ranked_documents, candidates_capped, strategy_counts, config_sweep, strategy_audit, recall, candidate_sizes, missed_pairs, missed_diagnosis,
+    pair_features, pair_features_exact, labelled_pairs, entity_scores, score_breakdown, threshold_sweep, best_threshold, match_histogram, match_stats, split_summary,
+    country_counts, missing_fields, pilot_sample, set_tests, remaining_ids, consistent_fallback, result_checks, matched_trees, linked_incrementally,
+)
+
 
 def queries() -> dict:
-    return {}
+    out = {f.__name__: f for f in NAMED}
+    for s in STRATEGIES:
+        for view in ("part", "documents"):
+            out[f"strategy_{s.lower()}_{view}"] = _strategy(s, view)
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import oracle
+
+    return oracle.sql(CAP)
