@@ -9,7 +9,7 @@ pass the length filter, the positional filter and a filter on parity bitmaps
 before their whole sets are compared.
 
 A line goes if an earlier line (smaller document id, then smaller line number)
-has an equal or similar set. Equal sets are one from the start. A line's
+has an equal or similar set. Equal lines are one from the start. A line's
 candidates are gone through from the earliest, so the members of a large group
 of near copies find their match with its first ones and no pairs within the
 group are written out; a line whose first candidates all fail is asked again
@@ -28,53 +28,55 @@ from pyspark.sql import functions as F
 from . import common, words
 
 SIMILARITY = 0.8
-#: Bits of the sketch that orders tokens; candidates that a line keeps under one token in the first round; postings of a bucket.
-SKETCH_BITS, FIRST, BUCKET_ROWS = 18, 8, 400_000
+#: Bits of the sketch that orders tokens; candidates that a line keeps under one token in the first round; postings of a bucket, and of a line, about.
+SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 18, 2, 400_000, 10
 _U = np.uint64
 _CHUNKS = 64
-POSTING = np.dtype([("token", "<u8"), ("bits", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "<u4")])
+POSTING = np.dtype([("token", "<u8"), ("bits", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1")])
 
 
-def line_sets(column: pa.Array, rarity: np.ndarray | None):
-    """Tokens of all lines: (row, line, bounds, tokens), distinct within a line; lines without words have none.
-
-    With ``rarity`` tokens of a line go from rare to frequent, else by hash.
-    """
+def line_words(column: pa.Array):
+    """(row, line, owner, token): all lines of all texts in order, and each word's line and hash."""
     data, offsets = words.text_buffer(column)
     breaks = np.flatnonzero(data == 10)
-    row_of = np.searchsorted(offsets, breaks, side="right") - 1
     begin = np.concatenate([offsets[:-1], breaks + 1])
-    order = np.argsort(begin, kind="stable")
-    row = np.concatenate([np.arange(len(offsets) - 1), row_of])[order]
-    begin = begin[order]
-    first = np.searchsorted(row, np.arange(len(offsets) - 1))
-    line = np.arange(len(row)) - first[row]
+    row = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, side="right") - 1])
+    order = np.lexsort((begin, row))
+    row, begin = row[order], begin[order]
+    line = np.arange(len(row)) - np.searchsorted(row, np.arange(len(offsets) - 1))[row]
     starts, ends = words.spans(data, offsets)
-    token = words.hashes(data, starts, ends)
-    # a row's line that is empty begins where the next row does: the last one at a place owns the word there
-    owner = np.searchsorted(begin, starts, side="right") - 1
-    if rarity is None:
-        at = np.lexsort((token, owner))
-    else:
-        at = np.lexsort((token, rarity[(token >> _U(64 - SKETCH_BITS)).astype(np.int64)], owner))
-    token, owner = token[at], owner[at]
-    fresh = np.ones(len(token), dtype=bool)
-    fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-    token, owner = token[fresh], owner[fresh]
-    return row, line, np.searchsorted(owner, np.arange(len(row) + 1)), token
-
-
-def _keys(token: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    # a line that is empty begins where the next one does: the last one at a place owns the word there
+    return row, line, np.searchsorted(begin, starts, side="right") - 1, words.hashes(data, starts, ends)
+
+
+def line_keys(owner: np.ndarray, token: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """A key for each line's words with repeats but without order, and their number."""
+    bounds = np.searchsorted(owner, np.arange(lines + 1))
     sums = np.zeros(len(token) + 1, dtype=np.uint64)
     np.cumsum(words.mix(token ^ _U(0x2545F4914F6CDD1D)), out=sums[1:])
-    return words.mix(sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
+    count = np.diff(bounds)
+    return words.mix(sums[bounds[1:]] - sums[bounds[:-1]] + count.astype(np.uint64)), count
+
 
+def line_order(owner: np.ndarray, token: np.ndarray, lines: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens of every line from rare to frequent: (bounds, token numbers, m, parity bitmaps).
 
-def _bitmaps(token: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The parity of tokens that fall on each of 64 bits; sets differ in no fewer tokens than their bitmaps in bits."""
-    marks = np.zeros(len(token) + 1, dtype=np.uint64)
-    np.bitwise_xor.accumulate(_U(1) << (token & _U(63)), out=marks[1:])
-    return marks[bounds[1:]] ^ marks[bounds[:-1]]
+    Line, rarity and hash are packed into one number, so that a plain sort
+    gives the order; a token's number is its rarity and 36 bits of its hash,
+    which may add candidates but loses none.
+    """
+    bits = max(1, int(lines).bit_length())
+    rest = _U(64 - bits - 6)
+    rare = rarity[(token >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+    packed = (owner.astype(np.uint64) << _U(64 - bits)) | (rare << rest) | (token >> (_U(64) - rest))
+    packed.sort()
+    packed = packed[np.concatenate([[True], packed[1:] != packed[:-1]])] if len(packed) else packed
+    own = (packed >> _U(64 - bits)).astype(np.int64)
+    bounds = np.searchsorted(own, np.arange(lines + 1))
+    number = (packed & ((_U(1) << _U(64 - bits)) - _U(1))) >> (rest - _U(36))
+    marks = np.zeros(len(packed) + 1, dtype=np.uint64)
+    np.bitwise_xor.accumulate(_U(1) << (words.mix(number) & _U(63)), out=marks[1:])
+    return bounds, number, np.diff(bounds), marks[bounds[1:]] ^ marks[bounds[:-1]]
 
 
 def candidates(posts: np.ndarray, t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,12 +118,13 @@ def _scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in common.pieces(batches, 1):
-            row, line, bounds, token = line_sets(batch.column(1), None)
+            row, line, owner, token = line_words(batch.column(1))
             sketch += np.bincount((token >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
             doc = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            has = np.diff(bounds) > 0
+            key, count = line_keys(owner, token, len(row))
+            has = count > 0
             n = int(has.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(doc[row[has]]), pa.array(line[has].astype(np.int32)), pa.array(_keys(token, bounds)[has].view(np.int64)), pa.nulls(n, pa.binary())], NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(doc[row[has]]), pa.array(line[has].astype(np.int32)), pa.array(key[has].view(np.int64)), pa.nulls(n, pa.binary())], NAMES)
             lines = np.bincount(row, minlength=len(doc)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), 2, np.int32)), pa.array(doc), pa.array(lines), pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.binary())], NAMES)
         chunks = [c.tobytes() for c in sketch.reshape(_CHUNKS, -1)]
@@ -132,7 +135,7 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:
-    """The tasks' sketches added up, first in 32 parts, as a rarity of one byte for each cell."""
+    """The tasks' sketches added up, first in 32 parts, as a rarity of 6 bits for each cell."""
 
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(b.as_py(), dtype=np.int64) for b in table["blob"])
@@ -144,7 +147,7 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
     parts = parts.withColumn("part", F.lit(0)).groupBy("line", "part").applyInArrow(add, "line int, part int, blob binary")
     rows = sorted(parts.collect(), key=lambda r: r["line"])  # a fixed number of chunks
     total = np.concatenate([np.frombuffer(r["blob"], dtype=np.int64) for r in rows]) if rows else np.zeros(1 << SKETCH_BITS, np.int64)
-    return np.minimum(255, 6 * np.log2(1 + total)).astype(np.uint8)
+    return np.minimum(63, 2 * np.log2(1 + total)).astype(np.uint8)
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -161,37 +164,35 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     lines, totals = scanned.where("kind = 0").select("doc", "line", "key"), scanned.where("kind = 2").selectExpr("doc", "line AS n_lines")
     rarity = spark.sparkContext.broadcast(_sketch(scanned))
 
-    def prefixes(batches):
+    firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("s")).select("key", F.col("s.doc").alias("doc"), F.col("s.line").alias("line"))
+    firsts = common.kept(firsts, "line-firsts")
+    buckets = max(1, math.ceil(firsts.count() * POSTS_OF_A_LINE / BUCKET_ROWS))
+
+    def posted(batches):
         for batch in common.pieces(batches, 1):
-            row, line, bounds, token = line_sets(batch.column(1), rarity.value)
-            key, bits, m = _keys(token, bounds), _bitmaps(token, bounds), np.diff(bounds)
+            row, line, owner, token = line_words(batch.column(1))
+            key, count = line_keys(owner, token, len(row))
             doc = batch.column(0).to_numpy()[row]
             order = np.lexsort((line, doc, key))
-            order = order[m[order] > 0]
-            order = order[np.concatenate([[True], key[order][1:] != key[order][:-1]])] if len(order) else order  # equal sets of the batch
-            size = m - np.ceil(t * m - 1e-9).astype(np.int64) + 1
-            blobs = [token[bounds[i] : bounds[i] + size[i]].tobytes() for i in order]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[order].view(np.int64)), pa.array(doc[order]), pa.array(line[order].astype(np.int32)), pa.array(m[order].astype(np.int32)), pa.array(bits[order].view(np.int64)), pa.array(blobs, pa.binary())],
-                ["key", "doc", "line", "m", "bits", "prefix"],
-            )
-
-    sets = common.arrow(docs, prefixes, "key long, doc long, line int, m int, bits long, prefix binary")
-    sets = common.kept(sets.groupBy("key").agg(F.min(F.struct("doc", "line", "m", "bits", "prefix")).alias("s")).select("key", "s.*"), "line-sets")
-    total = sets.agg(F.sum(F.length("prefix")) / 8).first()[0] or 0
-    buckets = max(1, math.ceil(total / BUCKET_ROWS))
-
-    def posted(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            prefix = batch.column(4)
-            count = np.array([len(b) // 8 for b in prefix.to_pylist()])
-            posts = np.zeros(int(count.sum()), dtype=POSTING)
-            posts["token"] = np.frombuffer(b"".join(prefix.to_pylist()), dtype=np.uint64)
-            for name, column in zip(("doc", "line", "m", "bits", "ask"), (0, 1, 2, 3, 5), strict=True):
-                posts[name] = np.repeat(batch.column(column).to_numpy(zero_copy_only=False).astype(POSTING[name] if name != "bits" else np.int64).view(POSTING[name]), count)
-            posts["at"] = np.arange(len(posts)) - np.repeat(np.cumsum(count) - count, count)
+            alone = np.zeros(len(order), dtype=bool)  # of equal lines of the batch the first is enough
+            alone[order] = np.concatenate([[True], key[order][1:] != key[order][:-1]]) if len(order) else alone
+            bounds, number, m, bits = line_order(owner, token, len(row), rarity.value)
+            use = np.flatnonzero(alone & (count > 0))
+            size = m[use] - np.ceil(t * m[use] - 1e-9).astype(np.int64) + 1
+            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            posts = np.zeros(len(at), dtype=POSTING)
+            posts["token"], posts["at"] = number[np.repeat(bounds[:-1][use], size) + at], at
+            for name, column in (("doc", doc), ("line", line), ("m", m), ("bits", bits)):
+                posts[name] = np.repeat(column[use], size)
+            if batch.num_columns > 2:  # lines that are asked again
+                wanted = batch.column(2).to_pylist()
+                mark = np.zeros(len(row), dtype=np.uint32)
+                head = np.searchsorted(row, np.arange(batch.num_rows))
+                for i, numbers in enumerate(wanted):
+                    mark[[head[i] + k for k in numbers or () if line[min(head[i] + k, len(line) - 1)] == k]] = 1
+                posts["ask"] = np.repeat(mark[use], size)
+            else:
+                posts["ask"] = 1
             to = (words.mix(posts["token"]) % _U(buckets)).astype(np.int32)
             order = np.argsort(to, kind="stable")
             cut = np.searchsorted(to[order], np.arange(buckets + 1))
@@ -216,21 +217,23 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         return run
 
     def pairs_of(asked: DataFrame, first: int | None) -> DataFrame:
-        blobs = common.arrow(asked.select("doc", "line", "m", "bits", "prefix", "ask"), posted, "bucket int, posts binary")
-        return blobs.groupBy("bucket").applyInArrow(paired(first), "doc long, line int, doc2 long, line2 int").distinct()
+        """Candidates of lines that come first of their equal ones; others go anyway."""
+        blobs = common.arrow(asked, posted, "bucket int, posts binary")
+        found = blobs.groupBy("bucket").applyInArrow(paired(first), "doc long, line int, doc2 long, line2 int").distinct()
+        return found.join(firsts.select("doc", "line"), ["doc", "line"], "left_semi")
 
     def tokens(batches):
         for batch in common.pieces(batches, 1):
-            row, line, bounds, token = line_sets(batch.column(1), None)
+            row, _, owner, token = line_words(batch.column(1))
             doc = batch.column(0).to_numpy()
+            head = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            use, of = [], []
             for i, wanted in enumerate(batch.column(2).to_pylist()):
-                at = int(np.searchsorted(row, i))
-                n = int(np.searchsorted(row, i, side="right")) - at
-                use = [k for k in wanted if k < n]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(use), doc[i])), pa.array(use, pa.int32()), pa.array([token[bounds[at + k] : bounds[at + k + 1]].view(np.int64) for k in use], pa.list_(pa.int64()))],
-                    ["doc", "line", "tokens"],
-                )
+                use += [head[i] + k for k in wanted if head[i] + k < head[i + 1]]
+                of += [(doc[i], k) for k in wanted if head[i] + k < head[i + 1]]
+            bounds = np.searchsorted(owner, np.arange(len(row) + 1))
+            sets = [np.unique(token[bounds[k] : bounds[k + 1]]).view(np.int64) for k in use]
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in of], pa.int64()), pa.array([k for _, k in of], pa.int32()), pa.array(sets, pa.list_(pa.int64()))], ["doc", "line", "tokens"])
 
     def matched(pairs: DataFrame) -> DataFrame:
         """(doc, line) of the later lines of pairs whose whole sets are similar."""
@@ -241,14 +244,14 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         full = full.withColumn("n", F.size(F.array_intersect("x", "y")))
         return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
 
-    pairs = common.kept(pairs_of(sets.withColumn("ask", F.lit(1)), FIRST), "line-pairs")
+    pairs = common.kept(pairs_of(docs, FIRST), "line-pairs")
     gone = common.kept(matched(pairs), "line-matches")
     again = pairs.where("doc2 IS NULL").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
     again = common.kept(again, "lines-again")
     if again.limit(1).count():
-        asked = sets.join(again.withColumn("ask", F.lit(1)), ["doc", "line"], "left").withColumn("ask", F.coalesce("ask", F.lit(0)))
+        asked = docs.join(again.groupBy("doc").agg(F.collect_set("line").alias("wanted")), "doc", "left").select("doc", "text", "wanted")
         gone = gone.union(matched(common.kept(pairs_of(asked, None), "line-pairs"))).distinct()
-    decided = sets.select("key", F.col("doc").alias("doc1"), F.col("line").alias("line1"))
+    decided = firsts.select("key", F.col("doc").alias("doc1"), F.col("line").alias("line1"))
     decided = decided.join(gone.selectExpr("doc AS doc1", "line AS line1", "true AS gone"), ["doc1", "line1"], "left")
     out = lines.join(decided, "key").where("gone OR doc <> doc1 OR line <> line1")
     return totals, out.select("doc", "line", "key")

@@ -11,21 +11,24 @@ positions go on.
 
 Signatures are cut into bands, and documents with an equal band may be linked.
 Equal sets are one node from the start. In each bucket every node is first
-compared with one leader, which joins groups of any size by as many pairs as
+compared with a few leaders, which joins groups of any size by as many pairs as
 they have members; then nodes of a bucket that are not yet in one component are
-compared with each other. Comparisons take the full sets, so no link is a guess.
+compared with each other, unless their signatures rule a link out. Comparisons
+take the full sets, so no link is a guess.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common, components, words
 
 POSITIONS, BANDS, WORDS, PERCENT = 128, 32, 5, 75
+#: Leaders that a bucket tries one after another; positions in which sketches of similar sets differ at most, six deviations above the mean at 75 percent.
+LEADERS, MOST_DIFFERENT = 2, 60
 _U = np.uint64
 _BITS = 25
 #: Elements whose positions are dealt together beyond rank 0; each takes POSITIONS bytes.
@@ -103,6 +106,12 @@ def bands(signature: np.ndarray, count: int = BANDS) -> np.ndarray:
     return out
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """Four bits of every position, sixteen to a number."""
+    four = (words.mix(signature.astype(np.uint64)) & _U(15)).reshape(len(signature), -1, 16)
+    return np.bitwise_or.reduce(four << (np.arange(16, dtype=np.uint64) * _U(4)), axis=2)
+
+
 def set_keys(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A 64-bit key of each whole set, the same for equal sets."""
     sums = np.zeros(len(elements) + 1, dtype=np.uint64)
@@ -119,18 +128,19 @@ def _lists(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, node, bands) of every row."""
+    """(doc_id, n_shingles, node, bands, sketch) of every row."""
 
     def run(batches):
         for batch in common.pieces(batches, 1):
             elements, at = shingles(batch.column(1), n)
-            keys = bands(signatures(elements, at))
+            signature = signatures(elements, at)
+            keys, sketch = bands(signature), sketches(signature)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(at), pa.int64()), _longs(set_keys(elements, at)), _lists(keys.reshape(-1), np.arange(len(keys) + 1) * BANDS)],
-                ["doc_id", "n_shingles", "node", "bands"],
+                [batch.column(0), pa.array(np.diff(at), pa.int64()), _longs(set_keys(elements, at)), _lists(keys.reshape(-1), np.arange(len(keys) + 1) * BANDS), _lists(sketch.reshape(-1), np.arange(len(keys) + 1) * sketch.shape[1])],
+                ["doc_id", "n_shingles", "node", "bands", "sketch"],
             )
 
-    return common.arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, "doc_id long, n_shingles long, node long, bands array<long>")
+    return common.arrow(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), run, "doc_id long, n_shingles long, node long, bands array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -153,12 +163,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = common.kept(signed(docs, n=n), "minhash-signatures")
-    nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = common.kept(nodes, "minhash-nodes")
     banded = nodes.select("node", "rep", "n", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min(F.struct("node", "n", "rep")).alias("lead"), F.count("*").alias("members")).where("members > 1")
-    inside = common.kept(banded.join(buckets, "band").selectExpr("band", "node", "n", "rep", "lead.node AS lead", "lead.n AS lead_n"), "minhash-buckets")
+    buckets = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    inside = common.kept(banded.join(buckets, "band"), "minhash-buckets")
     fits = f"100 * least({{0}}, {{1}}) >= {percent} * greatest({{0}}, {{1}})"
-    led = inside.where("node <> lead").where(fits.format("n", "lead_n")).selectExpr("lead AS a", "node AS b").distinct()
+    # a text that others were made from meets more of them than they meet each other: the leader is the member with most company
+    company = inside.groupBy("node").agg(F.sum("members").alias("company"))
+    inside = common.kept(inside.drop("members").join(company, "node"), "minhash-company")
     wanted = inside.select("rep").distinct()
     sets = common.kept(_sets(docs.join(wanted, docs["doc_id"] == wanted["rep"], "left_semi"), n).dropDuplicates(["node"]), "minhash-sets")
 
@@ -167,14 +180,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         both = pairs.join(right, "b").join(left, "a").withColumn("common", F.size(F.array_intersect("x", "y")))
         return both.where(f"100 * common >= {percent} * (size(x) + size(y) - common)").select("a", "b")
 
-    links = common.kept(confirmed(led), "minhash-links")
-    found = components.components(links)
-    # buckets that still hold several components: compare their nodes across components
-    placed = inside.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).select("band", "node", "n", "component", "lead")
-    mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-    open_ = common.kept(placed.join(mixed, "band"), "minhash-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, F.expr("x.band = y.band AND x.component < y.component AND x.node <> x.lead AND y.node <> y.lead AND " + fits.format("x.n", "y.n")))
+    placed = inside.withColumn("component", F.col("node"))
+    links = None
+    for round_ in range(LEADERS):
+        # every open bucket: one leader, a new one each time, against the nodes of other components
+        order = Window.partitionBy("band").orderBy(F.desc("company"), "node")
+        leaders = placed.withColumn("place", F.row_number().over(order)).where(F.col("place") == round_ + 1)
+        leaders = leaders.select("band", F.col("node").alias("lead"), F.col("n").alias("lead_n"), F.col("component").alias("lead_component"))
+        led = placed.join(leaders, "band").where("node <> lead AND component <> lead_component").where(fits.format("n", "lead_n"))
+        found = confirmed(led.selectExpr("least(node, lead) AS a", "greatest(node, lead) AS b").distinct())
+        links = common.kept(found if links is None else links.unionByName(found), "minhash-links")
+        component = components.components(links)
+        now = inside.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = now.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
+        placed = common.kept(now.join(mixed, "band"), "minhash-open")
+    # what is still open: every two nodes of other components whose sketches could belong to similar sets
+    open_ = placed.join(nodes.select("node", "sketch"), "node").select("band", "node", "n", "component", "sketch")
+    open_ = common.kept(open_, "minhash-open")
+    differ = " + ".join(f"bit_count(({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3)) & 1229782938247303441)" for x in (f"(x.sketch[{k}] ^ y.sketch[{k}])" for k in range(POSITIONS // 16)))
+    across = open_.alias("x").join(open_.alias("y"), F.expr(f"x.band = y.band AND x.component < y.component AND {fits.format('x.n', 'y.n')} AND {differ} <= {MOST_DIFFERENT}"))
     links2 = confirmed(across.selectExpr("least(x.node, y.node) AS a", "greatest(x.node, y.node) AS b").distinct())
     found = components.components(links.unionByName(links2))
     named = nodes.select("node", "rep").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
