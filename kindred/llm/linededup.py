@@ -13,7 +13,7 @@ has an equal or similar set. Equal lines are one from the start. A line's
 candidates are gone through from the earliest, so the members of a large group
 of near copies find their match with its first ones and no pairs within the
 group are written out; a line whose first candidates all fail is asked again
-with all of them.
+with all of them, under the tokens where it was cut short.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 from . import common, words
 
 SIMILARITY = 0.8
+#: Cells by which a second round knows the tokens to ask again: a power of two, so the broadcast stays at 1 MB.
+CELLS = 1 << 20
 #: Bits of the sketch that orders tokens; candidates that a line keeps under one token in the first round; postings of a bucket, and of a line, about.
 SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 18, 2, 400_000, 10
 _U = np.uint64
 _CHUNKS = 64
-POSTING = np.dtype([("token", "<u8"), ("bits", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1")])
+POSTING = np.dtype([("token", "<u8"), ("bits", "<u8", (2,)), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1")])
 
 
 def line_words(column: pa.Array):
@@ -74,14 +76,23 @@ def line_order(owner: np.ndarray, token: np.ndarray, lines: int, rarity: np.ndar
     own = (packed >> _U(64 - bits)).astype(np.int64)
     bounds = np.searchsorted(own, np.arange(lines + 1))
     number = (packed & ((_U(1) << _U(64 - bits)) - _U(1))) >> (rest - _U(36))
-    marks = np.zeros(len(packed) + 1, dtype=np.uint64)
-    np.bitwise_xor.accumulate(_U(1) << (words.mix(number) & _U(63)), out=marks[1:])
+    place = words.mix(number)
+    marks = np.zeros((len(packed) + 1, 2), dtype=np.uint64)
+    for half in range(2):
+        mine = ((place >> _U(6)) & _U(1)) == _U(half)
+        np.bitwise_xor.accumulate(mine.astype(np.uint64) << (place & _U(63)), out=marks[1:, half])
     return bounds, number, np.diff(bounds), marks[bounds[1:]] ^ marks[bounds[:-1]]
 
 
+def _cell(number: np.ndarray) -> np.ndarray:
+    return (words.mix(number) & _U(CELLS - 1)).astype(np.int64)
+
+
 def candidates(posts: np.ndarray, t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of postings: indexes of (later, earlier) that pass all filters, and of the later ones that have more than ``first``."""
-    order = np.lexsort((posts["line"], posts["doc"], posts["token"]))
+    """Of postings: indexes of (later, earlier) that pass all filters, and of the later ones that may have more than ``first``."""
+    cell = (words.mix(posts["token"]) >> _U(42)).astype(np.int64)
+    company = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)  # a token posted once pairs nothing
+    order = company[np.lexsort((posts["line"][company], posts["doc"][company], posts["token"][company]))]
     p = posts[order]
     head = np.ones(len(p), dtype=bool)
     head[1:] = p["token"][1:] != p["token"][:-1]
@@ -97,7 +108,7 @@ def candidates(posts: np.ndarray, t: float, first: int | None) -> tuple[np.ndarr
         need = np.ceil(t / (1 + t) * (mx + my) - 1e-9)
         ok = (np.minimum(mx, my) >= t * np.maximum(mx, my) - 1e-9) & ((x["doc"] != y["doc"]) | (x["line"] != y["line"]))
         ok &= 1 + np.minimum(mx - 1 - x["at"], my - 1 - y["at"]) + np.minimum(x["at"], y["at"]) >= need
-        ok &= np.bitwise_count(x["bits"] ^ y["bits"]) <= mx + my - 2 * need
+        ok &= np.bitwise_count(x["bits"] ^ y["bits"]).sum(axis=1) <= mx + my - 2 * need
         hit = later[ok]
         out.append((order[hit], order[start[hit] + step]))
         found[hit] += 1
@@ -168,7 +179,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     firsts = common.kept(firsts, "line-firsts")
     buckets = max(1, math.ceil(firsts.count() * POSTS_OF_A_LINE / BUCKET_ROWS))
 
-    def posted(batches):
+    def posted(batches, asked=None):
         for batch in common.pieces(batches, 1):
             row, line, owner, token = line_words(batch.column(1))
             key, count = line_keys(owner, token, len(row))
@@ -183,7 +194,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             posts = np.zeros(len(at), dtype=POSTING)
             posts["token"], posts["at"] = number[np.repeat(bounds[:-1][use], size) + at], at
             for name, column in (("doc", doc), ("line", line), ("m", m), ("bits", bits)):
-                posts[name] = np.repeat(column[use], size)
+                posts[name] = np.repeat(column[use], size, axis=0)
             if batch.num_columns > 2:  # lines that are asked again
                 wanted = batch.column(2).to_pylist()
                 mark = np.zeros(len(row), dtype=np.uint32)
@@ -191,6 +202,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
                 for i, numbers in enumerate(wanted):
                     mark[[head[i] + k for k in numbers or () if line[min(head[i] + k, len(line) - 1)] == k]] = 1
                 posts["ask"] = np.repeat(mark[use], size)
+                posts = posts[asked.value[_cell(posts["token"])]]
             else:
                 posts["ask"] = 1
             to = (words.mix(posts["token"]) % _U(buckets)).astype(np.int32)
@@ -205,20 +217,23 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             y, x, more = candidates(posts, t, first)
             both = np.zeros(len(y), dtype=[("a", "i8"), ("b", "i4"), ("c", "i8"), ("d", "i4")])
             both["a"], both["b"], both["c"], both["d"] = posts["doc"][y], posts["line"][y], posts["doc"][x], posts["line"][x]
-            both, rest = np.unique(both), np.unique(posts[["doc", "line"]][more])
+            both, rest = np.unique(both), np.unique(posts[["doc", "line", "token"]][more])
             none = len(rest)
             return pa.table(
                 {
                     "doc": pa.array(np.concatenate([both["a"], rest["doc"]])), "line": pa.array(np.concatenate([both["b"], rest["line"].astype(np.int32)])),
-                    "doc2": pa.concat_arrays([pa.array(np.ascontiguousarray(both["c"])), pa.nulls(none, pa.int64())]), "line2": pa.concat_arrays([pa.array(np.ascontiguousarray(both["d"])), pa.nulls(none, pa.int32())]),
+                    "doc2": pa.concat_arrays([pa.array(np.ascontiguousarray(both["c"])), pa.nulls(none, pa.int64())]), "line2": pa.concat_arrays([pa.array(np.ascontiguousarray(both["d"])), pa.array(_cell(rest["token"]).astype(np.int32))]),
                 }
             )
 
         return run
 
-    def pairs_of(asked: DataFrame, first: int | None) -> DataFrame:
-        """Candidates of lines that come first of their equal ones; others go anyway."""
-        blobs = common.arrow(asked, posted, "bucket int, posts binary")
+    def pairs_of(asked: DataFrame, first: int | None, cells=None) -> DataFrame:
+        """Candidates of lines that come first of their equal ones; others go anyway.
+
+        A row without ``doc2`` is a line cut short under a token, whose cell ``line2`` then is.
+        """
+        blobs = common.arrow(asked, lambda batches: posted(batches, cells), "bucket int, posts binary")
         found = blobs.groupBy("bucket").applyInArrow(paired(first), "doc long, line int, doc2 long, line2 int").distinct()
         return found.join(firsts.select("doc", "line"), ["doc", "line"], "left_semi")
 
@@ -231,9 +246,18 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             for i, wanted in enumerate(batch.column(2).to_pylist()):
                 use += [head[i] + k for k in wanted if head[i] + k < head[i + 1]]
                 of += [(doc[i], k) for k in wanted if head[i] + k < head[i + 1]]
+            use = np.array(use, dtype=np.int64)
             bounds = np.searchsorted(owner, np.arange(len(row) + 1))
-            sets = [np.unique(token[bounds[k] : bounds[k + 1]]).view(np.int64) for k in use]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in of], pa.int64()), pa.array([k for _, k in of], pa.int32()), pa.array(sets, pa.list_(pa.int64()))], ["doc", "line", "tokens"])
+            size = bounds[use + 1] - bounds[use]
+            own = np.repeat(np.arange(len(use)), size)
+            flat = token[np.arange(len(own)) + np.repeat(bounds[use] - np.cumsum(size) + size, size)]
+            order = np.lexsort((flat, own))
+            own, flat = own[order], flat[order]
+            fresh = np.ones(len(flat), dtype=bool)
+            fresh[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
+            cuts = np.searchsorted(own[fresh], np.arange(len(use) + 1))
+            sets = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[fresh].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in of], pa.int64()), pa.array([k for _, k in of], pa.int32()), sets], ["doc", "line", "tokens"])
 
     def matched(pairs: DataFrame) -> DataFrame:
         """(doc, line) of the later lines of pairs whose whole sets are similar."""
@@ -246,11 +270,15 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
 
     pairs = common.kept(pairs_of(docs, FIRST), "line-pairs")
     gone = common.kept(matched(pairs), "line-matches")
-    again = pairs.where("doc2 IS NULL").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
+    again = pairs.where("doc2 IS NULL").selectExpr("doc", "line", "line2 AS cell").join(gone, ["doc", "line"], "left_anti")
     again = common.kept(again, "lines-again")
-    if again.limit(1).count():
+    found = again.select("cell").distinct().toArrow()["cell"].to_numpy()  # at most CELLS numbers
+    if len(found):
+        cells = np.zeros(CELLS, dtype=bool)
+        cells[found] = True
+        cells = spark.sparkContext.broadcast(cells)
         asked = docs.join(again.groupBy("doc").agg(F.collect_set("line").alias("wanted")), "doc", "left").select("doc", "text", "wanted")
-        gone = gone.union(matched(common.kept(pairs_of(asked, None), "line-pairs"))).distinct()
+        gone = gone.union(matched(common.kept(pairs_of(asked, None, cells), "line-pairs"))).distinct()
     decided = firsts.select("key", F.col("doc").alias("doc1"), F.col("line").alias("line1"))
     decided = decided.join(gone.selectExpr("doc AS doc1", "line AS line1", "true AS gone"), ["doc1", "line1"], "left")
     out = lines.join(decided, "key").where("gone OR doc <> doc1 OR line <> line1")
