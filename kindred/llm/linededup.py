@@ -93,24 +93,28 @@ def candidates(posts: np.ndarray, t: float, first: int | None) -> tuple[np.ndarr
     cell = (words.mix(posts["token"]) >> _U(42)).astype(np.int64)
     company = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)  # a token posted once pairs nothing
     order = company[np.lexsort((posts["line"][company], posts["doc"][company], posts["token"][company]))]
-    p = posts[order]
-    head = np.ones(len(p), dtype=bool)
-    head[1:] = p["token"][1:] != p["token"][:-1]
+    token, doc, line, m, at, bits = (np.ascontiguousarray(posts[k][order]) for k in ("token", "doc", "line", "m", "at", "bits"))
+    m, at = m.astype(np.int64), at.astype(np.int64)
+    head = np.ones(len(order), dtype=bool)
+    head[1:] = token[1:] != token[:-1]
     start = np.flatnonzero(head)[np.cumsum(head) - 1]
-    place = np.arange(len(p)) - start
-    later = np.flatnonzero((place > 0) & (p["ask"] == 1))
-    found = np.zeros(len(p), dtype=np.int64)
+    place = np.arange(len(order)) - start
+    later = np.flatnonzero((place > 0) & (posts["ask"][order] == 1))
+    found = np.zeros(len(order), dtype=np.int8 if first is not None else np.int64)
     out, more = [], []
     step = 0
     while len(later):
-        x, y = p[start[later] + step], p[later]
-        mx, my = x["m"].astype(np.int64), y["m"].astype(np.int64)
+        other = start[later] + step
+        mx, my = m[other], m[later]
         need = np.ceil(t / (1 + t) * (mx + my) - 1e-9)
-        ok = (np.minimum(mx, my) >= t * np.maximum(mx, my) - 1e-9) & ((x["doc"] != y["doc"]) | (x["line"] != y["line"]))
-        ok &= 1 + np.minimum(mx - 1 - x["at"], my - 1 - y["at"]) + np.minimum(x["at"], y["at"]) >= need
-        ok &= np.bitwise_count(x["bits"] ^ y["bits"]).sum(axis=1) <= mx + my - 2 * need
-        hit = later[ok]
-        out.append((order[hit], order[start[hit] + step]))
+        ok = np.minimum(mx, my) >= t * np.maximum(mx, my) - 1e-9
+        ok &= 1 + np.minimum(mx - 1 - at[other], my - 1 - at[later]) + np.minimum(at[other], at[later]) >= need
+        some = np.flatnonzero(ok)
+        x, y = other[some], later[some]
+        few = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= m[x] + m[y] - 2 * need[some]
+        few &= (doc[x] != doc[y]) | (line[x] != line[y])
+        hit = y[few]
+        out.append((order[hit], order[x[few]]))
         found[hit] += 1
         step += 1
         stay = place[later] > step
@@ -191,20 +195,20 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             use = np.flatnonzero(alone & (count > 0))
             size = m[use] - np.ceil(t * m[use] - 1e-9).astype(np.int64) + 1
             at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            posted_by, rare = np.repeat(use, size), number[np.repeat(bounds[:-1][use], size) + at]
+            if asked is not None:
+                mine = asked.value[_cell(rare)]
+                posted_by, rare, at = posted_by[mine], rare[mine], at[mine]
             posts = np.zeros(len(at), dtype=POSTING)
-            posts["token"], posts["at"] = number[np.repeat(bounds[:-1][use], size) + at], at
+            posts["token"], posts["at"], posts["ask"] = rare, at, 1
             for name, column in (("doc", doc), ("line", line), ("m", m), ("bits", bits)):
-                posts[name] = np.repeat(column[use], size, axis=0)
-            if batch.num_columns > 2:  # lines that are asked again
+                posts[name] = column[posted_by]
+            if asked is not None:  # only these lines look for earlier ones
                 wanted = batch.column(2).to_pylist()
-                mark = np.zeros(len(row), dtype=np.uint32)
-                head = np.searchsorted(row, np.arange(batch.num_rows))
-                for i, numbers in enumerate(wanted):
-                    mark[[head[i] + k for k in numbers or () if line[min(head[i] + k, len(line) - 1)] == k]] = 1
-                posts["ask"] = np.repeat(mark[use], size)
-                posts = posts[asked.value[_cell(posts["token"])]]
-            else:
-                posts["ask"] = 1
+                mark = np.zeros(len(row), dtype=np.uint8)
+                head = np.searchsorted(row, np.arange(batch.num_rows + 1))
+                mark[[head[i] + k for i, numbers in enumerate(wanted) for k in numbers or () if head[i] + k < head[i + 1]]] = 1
+                posts["ask"] = mark[posted_by]
             to = (words.mix(posts["token"]) % _U(buckets)).astype(np.int32)
             order = np.argsort(to, kind="stable")
             cut = np.searchsorted(to[order], np.arange(buckets + 1))
@@ -217,7 +221,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             y, x, more = candidates(posts, t, first)
             both = np.zeros(len(y), dtype=[("a", "i8"), ("b", "i4"), ("c", "i8"), ("d", "i4")])
             both["a"], both["b"], both["c"], both["d"] = posts["doc"][y], posts["line"][y], posts["doc"][x], posts["line"][x]
-            both, rest = np.unique(both), np.unique(posts[["doc", "line", "token"]][more])
+            rest = posts[["doc", "line", "token"]][more]
             none = len(rest)
             return pa.table(
                 {

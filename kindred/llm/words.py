@@ -30,14 +30,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letter = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
     letter[65:91] = letter[97:123]
-    space = np.zeros(256, dtype=bool)
-    space[[9, 10, 11, 12, 13, 32]] = True
     up, down = np.full(_BLOCK, _BASE, dtype=np.uint64), np.full(_BLOCK, _INVERSE, dtype=np.uint64)
     up[0] = down[0] = 1
-    return letter, space, np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return letter, np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
 _CACHE: list = []
@@ -67,22 +65,21 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Starts and ends of all words, in order; a text's edge ends a word."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~tables()[1][data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
+    space = (data - np.uint8(9)) <= 4  # wraps round below 9
+    space |= data == 32
+    inside = ~space
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= space[:-1]
+    ends[:-1] &= space[1:]
     edge = offsets[(offsets > 0) & (offsets < len(data))]
     begins[edge] = inside[edge]
-    ends = inside
-    ends[:-1] &= ~inside[1:]
-    ends = ends.copy()
-    whole = ~tables()[1][data]
-    ends[edge - 1] = whole[edge - 1]
+    ends[edge - 1] = inside[edge - 1]
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each span, the same wherever the span lies."""
-    letter, _, up, down = tables()
+    letter, up, down = tables()
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):  # blocks that begin at a span, so that the powers stay in their tables
