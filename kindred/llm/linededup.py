@@ -268,9 +268,18 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         pairs = pairs.where("doc2 IS NOT NULL")
         wanted = pairs.select("doc", "line").union(pairs.select("doc2", "line2")).distinct().groupBy("doc").agg(F.collect_set("line").alias("wanted"))
         known = common.kept(common.arrow(docs.join(wanted, "doc").select("doc", "text", "wanted"), tokens, "doc long, line int, tokens array<long>"), "line-tokens")
-        full = pairs.join(known.withColumnRenamed("tokens", "y"), ["doc", "line"]).join(known.selectExpr("doc AS doc2", "line AS line2", "tokens AS x"), ["doc2", "line2"])
-        full = full.withColumn("n", F.size(F.array_intersect("x", "y")))
-        return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
+
+        def similar(pairs: DataFrame) -> DataFrame:
+            full = pairs.join(known.withColumnRenamed("tokens", "y"), ["doc", "line"]).join(known.selectExpr("doc AS doc2", "line AS line2", "tokens AS x"), ["doc2", "line2"])
+            full = full.withColumn("n", F.size(F.array_intersect("x", "y")))
+            return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
+
+        # most lines match their earliest candidate: only those that do not have their sets sent to the others
+        nearest = pairs.groupBy("doc", "line").agg(F.min(F.struct("doc2", "line2")).alias("e")).selectExpr("doc", "line", "e.doc2", "e.line2")
+        nearest = common.kept(nearest, "line-nearest")
+        gone = common.kept(similar(nearest), "line-matches")
+        rest = pairs.join(gone, ["doc", "line"], "left_anti").join(nearest, ["doc", "line", "doc2", "line2"], "left_anti")
+        return gone.union(similar(rest))
 
     pairs = common.kept(pairs_of(docs, FIRST), "line-pairs")
     gone = common.kept(matched(pairs), "line-matches")
