@@ -88,7 +88,9 @@ def pins(nums: Column) -> Column:
 def trigrams(text: Column) -> Column:
     """Distinct trigrams of a text between ``^`` and ``$``; none for an empty one."""
     framed = F.concat(F.lit("^"), text, F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), F.char_length(framed) - 2), lambda i: F.substr(framed, i, F.lit(3)))
+    letters = F.regexp_extract_all(framed, F.lit("(?s)."), F.lit(0))
+    from_ = lambda at: F.slice(letters, at, F.size(letters) - 2)
+    grams = F.zip_with(from_(1), F.zip_with(from_(2), from_(3), lambda a, b: F.concat(a, b)), lambda a, b: F.concat(a, b))  # one walk over the text, however long
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
 
 

@@ -14,7 +14,7 @@ FROM part
 """
 DOCUMENTS = """
 SELECT concat(CASE doc_id % 3 WHEN 0 THEN 'S1-' WHEN 1 THEN 'S2-' ELSE 'S3-' END, lpad(CAST(doc_id AS {string}), 10, '0')) AS entity_id,
-       CASE WHEN doc_id % 3 = 2 THEN translate(substr(text, 1, 40), 'éèêçàâîôûäöüóíáñ', 'eeecaaiouaouoian') ELSE substr(text, 1, 40) END AS business_name,
+       CASE WHEN doc_id % 3 = 2 THEN translate(text, 'éèêçàâîôûäöüóíáñ', 'eeecaaiouaouoian') ELSE text END AS business_name,
        concat(CAST(10 + n_chars % 90 AS {string}), ' ', source, ' ', CAST(100000 + n_chars AS {string})) AS business_address,
        lang AS country
 FROM documents
