@@ -1,22 +1,28 @@
-"""N-gram language model: interpolated modified Kneser-Ney bigrams.
-
-Counting. A task counts the bigrams of its texts in sorted arrays and sends
-them, by ranges of the first word's hash, to the shards; a shard merges its
-parts and writes three sorted arrays to the shared folder: bigrams with their
-counts, contexts with their totals and how many words follow them once, twice
-and more often. What a shard knows of second words (how often, after how many
-different words) goes on to the shards of words, written the same way. The
-driver sees a few sums and the names of the files, never the counts.
+"""N-gram language model: interpolated modified Kneser-Ney, trigrams unless asked for bigrams.
+
+Counting. A task counts the n-grams of its texts in sorted arrays and sends
+them, by ranges of the hash of the last word but one, to the shards. So all
+n-grams of a context meet in one shard, and so do all that end in one pair of
+words. A shard merges its parts and writes sorted arrays to the shared folder:
+trigrams and bigrams with their counts, contexts of either with their totals
+and how many words follow them once, twice and more often. What a shard knows
+of last words (how often, after how many different words) goes on to the shards
+of words, written the same way. The driver sees a few sums and the names of the
+files, never the counts.
 
 Scoring. Workers map the arrays into memory and look words up in sorted order,
 batch by batch, so pages are read one after another and shared by all workers
 of a machine. Files in a store without a local path are copied once per worker
 into an unlinked file.
 
-Probabilities of a word w after v, with counts c and discounts D by count:
-``P(w|v) = (c(vw) - D(c(vw))) / c(v.) + g(v) P(w)``, where g(v) is the mass that
-the discounts leave, and P(w) is made the same way from the number of different
-words before w, backing off to 1 / (V + 1) for any word.
+Probabilities of a word w after u v, with counts c and discounts D by count:
+``P(w|uv) = (c(uvw) - D(c(uvw))) / c(uv.) + g(uv) P(w|v)``, where g(uv) is the
+mass that the discounts leave. P(w|v) is made the same way from the number of
+different words before v w, and P(w) from that before w, backing off to
+1 / (V + 1) for any word. Nothing stands before a text's begin, so its first
+word starts at P(w|begin), which takes real counts, and a context that was
+never seen leaves all to the shorter one. With order 2, P(w|v) takes real
+counts for all.
 """
 
 from __future__ import annotations
@@ -34,9 +40,10 @@ from pyspark.sql import functions as F
 from . import common, words
 
 _U = np.uint64
-#: Hashes of what stands before the first word and after the last; tokens that a task counts before it sends its counts on.
-BEGIN, END = _U(0x0123456789ABCDEF), _U(0xFEDCBA9876543210)
-COUNTED = 3_000_000
+#: Hashes of what stands before the first word and after the last, and of what stands before the begin.
+BEGIN, END, NOTHING = _U(0x0123456789ABCDEF), _U(0xFEDCBA9876543210), _U(0)
+#: Tokens that a task counts before it sends its counts on; words of context and the word itself.
+COUNTED, ORDER = 3_000_000, 3
 
 
 def sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,6 +61,14 @@ def sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return before, token, at if len(n) else np.zeros(1, np.int64)
 
 
+def earlier(before: np.ndarray) -> np.ndarray:
+    """What stands before each token's context; NOTHING before a begin."""
+    out = np.empty_like(before)
+    out[1:] = before[:-1]
+    out[before == BEGIN] = NOTHING
+    return out
+
+
 def _reduce(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Sorts by the keys and adds up the values of equal ones."""
     order = np.lexsort(keys[::-1])
@@ -140,12 +155,40 @@ def _pair_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return (v & _U(0xFFFFFF0000000000)) | (words.mix(v * _U(0x9E3779B97F4A7C15) + w) >> _U(24))
 
 
+def _least(x: np.ndarray) -> np.ndarray:
+    """Counts in as narrow a type as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _level(name: str, key: np.ndarray, c: np.ndarray, context: np.ndarray) -> dict[str, np.ndarray]:
+    """Sorted arrays of one order: n-grams with counts (those beyond one byte apart), contexts with totals and followers. ``context``: of every n-gram, in runs."""
+    order = np.argsort(key, kind="stable")
+    sorted_c = c[order]
+    big = np.flatnonzero(sorted_c >= 255)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(context)), bool), context[1:] != context[:-1]]))
+    add = lambda x: _least(np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64))
+    at = np.argsort(context[first], kind="stable")
+    out = {"gram": key[order], "c": np.minimum(sorted_c, 255).astype(np.uint8), "c_at": big, "c_big": sorted_c[big], "context": context[first][at]}
+    out |= {k: add(x)[at] for k, x in (("total", c), ("n1", c == 1), ("n2", c == 2), ("n3", c >= 3))}
+    return {f"{name}{k}": a for k, a in out.items()}
+
+
+def _packed(x: np.ndarray) -> tuple[bytes, bytes]:
+    """Hashes as a dictionary and places in it."""
+    known, at = np.unique(x, return_inverse=True)
+    return known.tobytes(), _narrow(at)
+
+
+def _unpacked(known: bytes, at: bytes) -> np.ndarray:
+    return np.frombuffer(known, dtype=np.uint64)[_wide(at)]
+
+
 class Model:
     """The files of a model and its few numbers; picklable, opens its files where it is used."""
 
-    def __init__(self, folder: str, pairs: list[str], vocabulary: list[str], discounts: tuple, tokens: int, distinct: int, pair_kinds: int):
-        self.folder, self.pairs, self.vocabulary = folder, pairs, vocabulary
-        self.d2, self.d1, self.tokens, self.distinct, self.pair_kinds = *discounts, tokens, distinct, pair_kinds
+    def __init__(self, folder: str, grams: list[str], vocabulary: list[str], discounts: tuple, tokens: int, distinct: int, pair_kinds: int, order: int):
+        self.folder, self.grams, self.vocabulary = folder, grams, vocabulary
+        self.d3, self.d2, self.d1, self.tokens, self.distinct, self.pair_kinds, self.order = *discounts, tokens, distinct, pair_kinds, order
 
     def _look(self, files: list[str], key: str, asked: np.ndarray, columns: tuple[str, ...], route: np.ndarray) -> list[np.ndarray]:
         """Values of sorted distinct keys, 0 where a key is not there; ``route`` is what the shards are cut by."""
@@ -169,8 +212,18 @@ class Model:
                     o[a:b][big] = arrays[f"{c}_big"][np.searchsorted(arrays[f"{c}_at"], at[big])]
         return out
 
-    def score(self, before: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 probability, count of the token in training) for every token."""
+    def _refined(self, name: str, context: np.ndarray, gram: np.ndarray, d: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """The probability of one order more: what its counts say, and ``lower`` for the mass that their discounts leave."""
+        v, v_at = np.unique(context, return_inverse=True)
+        total, n1, n2, n3 = self._look(self.grams, f"{name}context", v, tuple(f"{name}{k}" for k in ("total", "n1", "n2", "n3")), v)
+        p, p_at = np.unique(gram, return_inverse=True)
+        (c,) = self._look(self.grams, f"{name}gram", p, (f"{name}c",), p)
+        c, total = c[p_at], np.where(total > 0, total, 1)[v_at]
+        left = (d[1] * n1 + d[2] * n2 + d[3] * n3)[v_at] / total
+        return np.where((n1 + n2 + n3 > 0)[v_at], np.maximum(c - d[np.minimum(c, 3)], 0) / total + left * lower, lower)
+
+    def score(self, before: np.ndarray, token: np.ndarray, earlier: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 probability, count of the token in training) for every token; ``earlier`` is what stands before its context."""
         w, w_at = np.unique(token, return_inverse=True)
         count, kinds = self._look(self.vocabulary, "word", w, ("count", "kinds"), w)
         d = self.d1
@@ -179,16 +232,12 @@ class Model:
             base = np.maximum(kinds - d[np.minimum(kinds, 3)], 0) / self.pair_kinds + d[4] / self.pair_kinds * floor
         else:
             base = np.full(len(w), floor)
-        v, v_at = np.unique(before, return_inverse=True)
-        total, n1, n2, n3 = self._look(self.pairs, "context", v, ("total", "n1", "n2", "n3"), v)
         pair = _pair_key(before, token)
-        p, p_first, p_at = np.unique(pair, return_index=True, return_inverse=True)
-        (both,) = self._look(self.pairs, "pair", p, ("c",), p)
-        d = self.d2
-        both, total = both[p_at], np.where(total > 0, total, 1)[v_at]
-        known = (n1 + n2 + n3 > 0)[v_at]
-        left = ((d[1] * n1 + d[2] * n2 + d[3] * n3)[v_at]) / total
-        probability = np.where(known, np.maximum(both - d[np.minimum(both, 3)], 0) / total + left * base[w_at], base[w_at])
+        probability = self._refined("", before, pair, self.d2, base[w_at])
+        if self.order > 2 and earlier is not None:
+            some = np.flatnonzero(earlier != NOTHING)
+            context = _pair_key(before[some], earlier[some])
+            probability[some] = self._refined("t", context, _pair_key(context, token[some]), self.d3, probability[some])
         return np.log10(probability), count[w_at]
 
 
@@ -206,33 +255,33 @@ def _census(x: np.ndarray) -> list[int]:
     return [int((x == k).sum()) for k in (1, 2, 3, 4)] + [int((x >= 3).sum())]
 
 
-def fit(docs: DataFrame, text: str = "text", shards: int | None = None) -> Model:
-    """A model of all texts; a null text is an empty one, which is an end alone. Without rows every token is as likely as any other."""
+def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: int = ORDER) -> Model:
+    """A model of all texts, of order 2 or 3; a null text is an empty one, which is an end alone. Without rows every token is as likely as any other."""
+    if order not in (2, 3):
+        raise ValueError(f"order is 2 or 3, not {order}")
     spark = docs.sparkSession
     rows = docs.select(F.col(text).alias("text"))
-    shards = shards or max(4, min(4096, rows.rdd.getNumPartitions()))
+    shards = shards or max(4, min(4096, 4 * rows.rdd.getNumPartitions()))  # small ones, as a merge holds all n-grams of its shard
     folder = f"{common.shared_dir(spark)}/lm-{uuid.uuid4().hex}"
 
     def count(batches):
         held, size = [], 0
 
         def flush():
-            keys, values = _reduce([np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])], [np.ones(size, np.int64)])
-            cut = np.searchsorted(_shard(keys[0], shards), np.arange(shards + 1))
-            full = [s for s in range(shards) if cut[s] < cut[s + 1]]
-            runs = []
-            for s in full:  # contexts once with the length of their run, then second words and counts
-                v = keys[0][cut[s] : cut[s + 1]]
-                first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-                runs.append((v[first].tobytes(), _narrow(np.diff(np.append(first, len(v))))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array([a for a, _ in runs], pa.binary()), pa.array([b for _, b in runs], pa.binary()), pa.array([keys[1][cut[s] : cut[s + 1]].tobytes() for s in full], pa.binary()), pa.array([_narrow(values[0][cut[s] : cut[s + 1]]) for s in full], pa.binary())],
-                ["shard", "v", "runs", "w", "c"],
-            )
+            (v, u, w), (c,) = _reduce([np.concatenate(x) for x in zip(*held, strict=True)], [np.ones(size, np.int64)])
+            cut = np.searchsorted(_shard(v, shards), np.arange(shards + 1))
+            out = []
+            for s in range(shards):  # contexts once with the length of their run, then last words and counts
+                a, b = cut[s], cut[s + 1]
+                if a < b:
+                    first = np.flatnonzero(np.concatenate([[True], (v[a + 1 : b] != v[a : b - 1]) | (u[a + 1 : b] != u[a : b - 1])])) + a
+                    out.append((s, *_packed(v[first]), *_packed(u[first]), _narrow(np.diff(np.append(first, b))), *_packed(w[a:b]), _narrow(c[a:b])))
+            names = ["shard", "v", "v_at", "u", "u_at", "runs", "w", "w_at", "c"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int32()) for k, x in enumerate(zip(*out, strict=True))], names)
 
         for batch in common.pieces(batches, 0):
             before, token, _ = sequences(batch.column(0))
-            held.append((before, token))
+            held.append((before, earlier(before) if order > 2 else np.zeros_like(before), token))
             size += len(token)
             if size >= COUNTED:
                 yield from flush()
@@ -241,31 +290,27 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None) -> Model
             yield from flush()
 
     def merge(table: pa.Table) -> pa.Table:
-        v = np.concatenate([np.repeat(np.frombuffer(a.as_py(), dtype=np.uint64), _wide(b.as_py())) for a, b in zip(table["v"], table["runs"], strict=True)])
-        w = np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint64) for x in table["w"]])
-        c = np.concatenate([_wide(x.as_py()) for x in table["c"]])
-        (v, w), (c,) = _reduce([v, w], [c])
-        key = _pair_key(v, w)
-        order = np.argsort(key, kind="stable")
-        sorted_c = c[order]
-        big = np.flatnonzero(sorted_c >= 255)
-        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-        add = lambda x: np.add.reduceat(x.astype(np.int64), first)
-        written = _write(
-            folder,
-            {
-                "pair": key[order], "c": np.minimum(sorted_c, 255).astype(np.uint8), "c_at": big, "c_big": sorted_c[big],
-                "context": v[first], "total": add(c), "n1": add(c == 1).astype(np.uint32), "n2": add(c == 2).astype(np.uint32), "n3": add(c >= 3).astype(np.uint32),
-            },
-        )
-        (second,), (times, kinds) = _reduce([w], [c, np.ones(len(w), np.int64)])
+        get = lambda *names: zip(*(table[k].to_pylist() for k in names), strict=True)
+        v, u = (np.concatenate([np.repeat(_unpacked(a, b), _wide(r)) for a, b, r in get(k, f"{k}_at", "runs")]) for k in ("v", "u"))
+        w = np.concatenate([_unpacked(a, b) for a, b in get("w", "w_at")])
+        c = np.concatenate([_wide(x) for x in table["c"].to_pylist()])
+        (v, u, w), (c,) = _reduce([v, u, w], [c])
+        some = np.flatnonzero(u != NOTHING) if order > 2 else np.zeros(0, np.int64)
+        context = _pair_key(v[some], u[some])
+        top = c[some]
+        arrays = _level("t", _pair_key(context, w[some]), top, context)
+        del context, some
+        # a pair counts as often as different words stand before it, and really where none can
+        (v, w), (times, c) = _reduce([v, w], [c, np.where(u == NOTHING, c, 1)])
+        written = _write(folder, arrays | _level("", _pair_key(v, w), c, v))
+        (second,), (times, kinds) = _reduce([w], [times, np.ones(len(w), np.int64)])
         cut = np.searchsorted(_shard(second, shards), np.arange(shards + 1))
         full = [s for s in range(shards) if cut[s] < cut[s + 1]]
         here = table["shard"][0].as_py()
         none = len(full)
         return pa.table(
             {
-                "shard": pa.array([here, *full], pa.int32()), "file": pa.array([written] + [None] * none, pa.string()), "census": pa.array([[*_census(c), int(c.sum()), len(c)]] + [None] * none, pa.list_(pa.int64())),
+                "shard": pa.array([here, *full], pa.int32()), "file": pa.array([written] + [None] * none, pa.string()), "census": pa.array([[*_census(c), len(c), *_census(top)]] + [None] * none, pa.list_(pa.int64())),
                 "w": pa.array([None, *(second[cut[s] : cut[s + 1]].tobytes() for s in full)], pa.binary()), "times": pa.array([None, *(_narrow(times[cut[s] : cut[s + 1]]) for s in full)], pa.binary()), "kinds": pa.array([None, *(_narrow(kinds[cut[s] : cut[s + 1]]) for s in full)], pa.binary()),
             }
         )
@@ -276,22 +321,22 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None) -> Model
         written = _write(folder, {"word": w, "count": times, "kinds": kinds})
         return pa.table({"shard": table["shard"][:1], "file": pa.array([written]), "census": pa.array([[*_census(kinds), int(times.sum()), len(w)]], pa.list_(pa.int64()))})
 
-    counted = common.arrow(rows, count, "shard int, v binary, runs binary, w binary, c binary")
+    counted = common.arrow(rows, count, "shard int, v binary, v_at binary, u binary, u_at binary, runs binary, w binary, w_at binary, c binary")
     merged = counted.groupBy("shard").applyInArrow(merge, "shard int, file string, census array<long>, w binary, times binary, kinds binary")
     merged = common.kept(merged, "lm-shards")
     settled = merged.where("w IS NOT NULL").select("shard", "w", "times", "kinds").groupBy("shard").applyInArrow(settle, "shard int, file string, census array<long>")
     settled = common.kept(settled, "lm-words")
     names = []
     sums = []
-    for table in (merged.where("file IS NOT NULL"), settled):
+    for table, width in ((merged.where("file IS NOT NULL"), 11), (settled, 7)):
         found = table.select("shard", "file", "census").collect()  # a row for each shard
         files = {r["shard"]: r["file"] for r in found}
         names.append([files.get(s, "") for s in range(shards)])
-        sums.append(np.sum([r["census"] for r in found], axis=0) if found else np.zeros(7, np.int64))
+        sums.append(np.sum([r["census"] for r in found], axis=0) if found else np.zeros(width, np.int64))
     pairs, vocabulary = sums
     d1 = discounts(list(vocabulary[:4]))
     mass = d1[1] * vocabulary[0] + d1[2] * vocabulary[1] + d1[3] * vocabulary[4]
-    return Model(folder, names[0], names[1], (discounts(list(pairs[:4])), np.append(d1, mass)), int(pairs[5]), int(vocabulary[6]), int(pairs[6]))
+    return Model(folder, names[0], names[1], (discounts(list(pairs[6:10])), discounts(list(pairs[:4])), np.append(d1, mass)), int(vocabulary[5]), int(vocabulary[6]), int(pairs[5]), order)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -300,7 +345,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def run(batches):
         for batch in common.pieces(batches, 1):
             before, token, at = sequences(batch.column(1))
-            log, count = model.score(before, token)
+            log, count = model.score(before, token, earlier(before))
             base = np.log10((count + 1) / (model.tokens + model.distinct + 1))
             add = lambda x: np.add.reduceat(x, at[:-1])
             n, total = np.diff(at), add(log)
