@@ -86,12 +86,12 @@ def posting_stats(spark, sf_dir):
     return E.posting_stats(B.posting_sizes(B.keys(targets, "token"))).select("ids", "total", "median", "p95", "max")
 
 
-def pruned_postings(spark, sf_dir, most=3):
+def pruned_postings(spark, sf_dir, most=B.MAX_ADDRESS):
     _, targets = _reps(spark, sf_dir, "part")
     return B.posting_sizes(B.gated(B.keys(targets, "addrnum"), most)).select(F.array_join("key", "|").alias("key"), "country", "n")
 
 
-def pruned_targets(spark, sf_dir, most=3):
+def pruned_targets(spark, sf_dir, most=B.MAX_ADDRESS):
     return B.dropped(B.keys(_reps(spark, sf_dir, "part")[1], "addrnum"), most)
 
 
@@ -230,7 +230,7 @@ def missing_fields(spark, sf_dir):
     return E.missing_fields(V.entities(spark, sf_dir, "documents").withColumn("business_address", F.when(F.length("business_address") > 12, F.col("business_address"))))
 
 
-def pilot_sample(spark, sf_dir, most=50):
+def pilot_sample(spark, sf_dir, most=10_000):
     ids = V.sides(V.entities(spark, sf_dir))[0].where(X.bucket(F.col("entity_id")) < 20).select("entity_id")
     return ids.orderBy("entity_id").limit(most)
 
@@ -264,7 +264,7 @@ def result_checks(spark, sf_dir):
     return E.checks(ids, E.gathered(ids, chosen), E.gathered(ids, pairs))
 
 
-def matched_trees(spark, sf_dir, rounds=10):
+def matched_trees(spark, sf_dir, rounds=150):
     """Pairs with the probability of a model trained on the pairs of training ids."""
     featured = score.labelled(_featured(spark, sf_dir), V.truth(spark, sf_dir))
     model = matcher.fit(featured.where(X.bucket(F.col("s1_id")) >= 20), rounds)
