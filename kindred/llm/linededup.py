@@ -37,6 +37,10 @@ _CHUNKS = 64
 POSTING = np.dtype([("token", "<u8"), ("bits", "<u8", (2,)), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1")])
 
 
+#: Lines that are packed together: their number takes at most 22 bits, which leaves 36 for the hash.
+RUN = (1 << 22) - 1
+
+
 def line_words(column: pa.Array):
     """(row, line, owner, token): all lines of all texts in order, and each word's line and hash."""
     data, offsets = words.text_buffer(column)
@@ -61,7 +65,21 @@ def line_keys(owner: np.ndarray, token: np.ndarray, lines: int) -> tuple[np.ndar
 
 
 def line_order(owner: np.ndarray, token: np.ndarray, lines: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct tokens of every line from rare to frequent: (bounds, token numbers, m, parity bitmaps).
+    """Distinct tokens of every line from rare to frequent: (bounds, token numbers, m, parity bitmaps). Only lines with words are numbered, in runs of ``RUN``."""
+    fresh = np.ones(len(owner), dtype=bool)
+    fresh[1:] = owner[1:] != owner[:-1]
+    filled, own = owner[fresh], np.cumsum(fresh) - 1
+    m, marks, numbers = np.zeros(lines, dtype=np.int64), np.zeros((lines, 2), dtype=np.uint64), []
+    for first in range(0, len(filled), RUN):
+        here = filled[first : first + RUN]
+        lo, hi = np.searchsorted(own, (first, first + len(here)))
+        number, m[here], marks[here] = _run_order(own[lo:hi] - first, token[lo:hi], len(here), rarity)
+        numbers.append(number)
+    return np.concatenate([[0], np.cumsum(m)]), np.concatenate(numbers) if numbers else np.zeros(0, np.uint64), m, marks
+
+
+def _run_order(owner: np.ndarray, token: np.ndarray, lines: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token numbers, m, parity bitmaps) of at most ``RUN`` lines.
 
     Line, rarity and hash are packed into one number, so that a plain sort
     gives the order; a token's number is its rarity and 36 bits of its hash,
@@ -81,7 +99,7 @@ def line_order(owner: np.ndarray, token: np.ndarray, lines: int, rarity: np.ndar
     for half in range(2):
         mine = ((place >> _U(6)) & _U(1)) == _U(half)
         np.bitwise_xor.accumulate(mine.astype(np.uint64) << (place & _U(63)), out=marks[1:, half])
-    return bounds, number, np.diff(bounds), marks[bounds[1:]] ^ marks[bounds[:-1]]
+    return number, np.diff(bounds), marks[bounds[1:]] ^ marks[bounds[:-1]]
 
 
 def _cell(number: np.ndarray) -> np.ndarray:
