@@ -2,9 +2,11 @@
 
 A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]``; ``A-Z`` count as
 ``a-z``. Words are found and hashed on the column's UTF-8 buffer with numpy, so
-no Python object is made per word. The hash of a word is a polynomial over a
-random byte table modulo 2**64, taken from prefix sums and then mixed; two
-different words share a hash with a probability of about 2**-64.
+no Python object is made per word. A word is hashed eight bytes at a time, each
+step a bijective mixing of what came before and the next bytes; a word of more
+than ``LONG`` bytes by a polynomial over a random byte table modulo 2**64, taken
+from sums over blocks. Two different words share a hash with a probability of
+about 2**-64.
 
 Null texts have no words. Texts of any length are taken whole.
 """
@@ -16,8 +18,10 @@ import pyarrow as pa
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_BLOCK = 1 << 22
+_BLOCK, _SPANS = 1 << 22, 1 << 14
+#: Words of more bytes are hashed in another way, so that one of any length takes few steps.
+LONG = 1024
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,12 +34,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tables() -> tuple[np.ndarray, np.ndarray]:
     letter = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
-    letter[65:91] = letter[97:123]
-    up, down = np.full(_BLOCK, _BASE, dtype=np.uint64), np.full(_BLOCK, _INVERSE, dtype=np.uint64)
-    up[0] = down[0] = 1
-    return letter, np.multiply.accumulate(up), np.multiply.accumulate(down)
+    up = np.full(_BLOCK, _BASE, dtype=np.uint64)
+    up[0] = 1
+    return letter, np.multiply.accumulate(up)
 
 
 _CACHE: list = []
@@ -77,28 +80,46 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with ``A-Z`` as ``a-z``, and eight zeros after them."""
+    out = np.zeros(len(data) + 8, dtype=np.uint8)
+    np.less(data - np.uint8(65), 26, out=out[: len(data)].view(bool))
+    out[: len(data)] <<= 5
+    out[: len(data)] |= data
+    return out
+
+
+def _polynomial(data: np.ndarray) -> np.uint64:
+    """The hash of one long span of lowered bytes, in blocks."""
+    letter, up = tables()
+    total = _U(0)
+    for j in range(0, len(data), _BLOCK):
+        part = letter[data[j : j + _BLOCK]]
+        total += (part * up[: len(part)]).sum(dtype=np.uint64) * _U(pow(_BASE, j, 1 << 64))
+    return total
+
+
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each span, the same wherever the span lies."""
-    letter, up, down = tables()
     out = np.empty(len(starts), dtype=np.uint64)
-    at = 0
-    while at < len(starts):  # blocks that begin at a span, so that the powers stay in their tables
-        low = starts[at]
-        to = max(at + 1, int(np.searchsorted(ends, low + _BLOCK, side="right")))
-        size = int(ends[to - 1] - low)
-        if size > _BLOCK:  # one span longer than the tables
-            piece, total = letter[data[low : low + size]], _U(0)
-            for j in range(0, size, _BLOCK):
-                part = piece[j : j + _BLOCK]
-                total += (part * up[: len(part)]).sum(dtype=np.uint64) * _U(pow(_BASE, j, 1 << 64))
-            out[at] = total
-        else:
-            sums = np.zeros(size + 1, dtype=np.uint64)
-            np.cumsum(letter[data[low : low + size]] * up[:size], out=sums[1:])
-            first, last = starts[at:to] - low, ends[at:to] - low
-            out[at:to] = (sums[last] - sums[first]) * down[first]
-        at = to
-    return mix(out + (ends - starts).astype(np.uint64) * _U(0x9FB21C651E98DF25) + _U(seed))
+    low = _lowered(data)
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=low.data, strides=(1,))  # the eight bytes from every place on
+    for at in range(0, len(starts), _SPANS):  # blocks that stay in the processor's cache
+        begin = starts[at : at + _SPANS].astype(np.int64)
+        size = ends[at : at + _SPANS] - begin
+        own = out[at : at + _SPANS]
+        np.multiply(size.astype(np.uint64), _U(0x9FB21C651E98DF25), out=own)
+        own += _U(seed)
+        own ^= eight[begin] & _MASKS[np.minimum(size, 8)]
+        own[:] = mix(own)
+        some, k = np.flatnonzero((size > 8) & (size <= LONG)), 8
+        while len(some):
+            own[some] = mix(own[some] * _U(_BASE) + (eight[begin[some] + k] & _MASKS[np.minimum(size[some] - k, 8)]))
+            k += 8
+            some = some[size[some] > k]
+        for i in np.flatnonzero(size > LONG):
+            own[i] = mix(own[i : i + 1] + _polynomial(low[begin[i] : begin[i] + size[i]]))[0]
+    return out
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
