@@ -16,6 +16,7 @@ from kindred.operators import blocking as B
 from kindred.operators import evaluate as E
 from kindred.operators import features, matcher, score
 from kindred.operators.representation import represent
+from kindred.session import shared_dir
 from kindred.sources import tsv
 from kindred.streaming import incremental
 
@@ -37,8 +38,7 @@ def _pairs(spark: SparkSession, sf_dir: str, view: str = "part") -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
-    return f"{base.rstrip('/')}/kindred-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/kindred-{uuid.uuid4().hex}"
 
 
 def _join(column: str):

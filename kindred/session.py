@@ -30,3 +30,16 @@ def ship(spark: SparkSession) -> None:
             shutil.copy(path, kept_path)
     context.addPyFile(str(kept_path))
     context._kindred_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``. A session in one process that has none gets a temporary one."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not found and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        if not hasattr(context, "_kindred_shared"):
+            context._kindred_shared = tempfile.mkdtemp(prefix="kindred-shared-")
+        found = context._kindred_shared
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return found.rstrip("/")
