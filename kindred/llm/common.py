@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.session import ship
+from kindred.session import shared_dir, ship
 
 #: Bytes of text that a Python step works on at once; a longer single text is taken whole.
 PIECE = 8 << 20
@@ -19,12 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; a local one only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (found or "/tmp/checkpoints").rstrip("/")
-
-
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it again, which cuts its lineage."""
     spark = df.sparkSession
@@ -40,8 +35,6 @@ def remainder(doc_id: str, of: int) -> Column:
 
 def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that the texts of each hold about ``limit`` bytes."""
-    import numpy as np
-
     from . import words
 
     for batch in batches:
@@ -59,3 +52,59 @@ def arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """mapInArrow, on workers that have this package."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
+
+
+CHUNKS, PARTS = 64, 32
+
+
+def packed(array: np.ndarray) -> list[bytes]:
+    """An array in ``CHUNKS`` compressed chunks."""
+    return [pa.compress(c.tobytes(), codec="zstd", asbytes=True) for c in array.reshape(CHUNKS, -1)]
+
+
+def combined(parts: DataFrame, kind: np.dtype, size: int, add=np.add) -> np.ndarray:
+    """One array of ``size`` numbers from many of (chunk, blob), each an array ``packed``: first in groups of parts, then all; only the whole comes to the driver."""
+    kind, bytes_ = np.dtype(kind), size // CHUNKS * np.dtype(kind).itemsize
+
+    def merge(table: pa.Table) -> pa.Table:
+        total = np.zeros(size // CHUNKS, dtype=kind)
+        for blob in table["blob"]:
+            add(total, np.frombuffer(pa.decompress(blob.as_buffer(), bytes_, codec="zstd"), dtype=kind), out=total)
+        return pa.table({"chunk": table["chunk"][:1], "part": table["part"][:1], "blob": pa.array([pa.compress(total.tobytes(), codec="zstd", asbytes=True)], pa.binary())})
+
+    ship(parts.sparkSession)
+    some = parts.select("chunk", F.pmod(F.xxhash64("blob"), F.lit(PARTS)).cast("int").alias("part"), "blob")
+    some = some.groupBy("chunk", "part").applyInArrow(merge, "chunk int, part int, blob binary")
+    some = some.withColumn("part", F.lit(0)).groupBy("chunk", "part").applyInArrow(merge, "chunk int, part int, blob binary")
+    out = np.zeros((CHUNKS, size // CHUNKS), dtype=kind)
+    for r in some.collect():  # a row for each chunk
+        out[r["chunk"]] = np.frombuffer(pa.decompress(r["blob"], bytes_, codec="zstd"), dtype=kind)
+    return out.reshape(-1)
+
+
+def marked(rows: DataFrame, columns: list[str], count: int) -> tuple[np.ndarray, int]:
+    """A bitmap of the hashes of rows, eight bits a row within 2**20 and 2**28 bits, and its logarithm: rows beyond that make more bits stand for rows that aren't there, and lose none."""
+    bits = min(28, max(20, (8 * count).bit_length()))
+
+    def run(batches):
+        out = np.zeros(1 << bits, dtype=bool)
+        for batch in batches:
+            out[cells([c.to_numpy(zero_copy_only=False) for c in batch.columns], bits)] = True
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array(packed(np.packbits(out)), pa.binary())], ["chunk", "blob"])
+
+    return combined(arrow(rows.select(*columns), run, "chunk int, blob binary"), np.uint8, (1 << bits) // 8, np.bitwise_or), bits
+
+
+def cells(columns: list[np.ndarray], bits: int) -> np.ndarray:
+    """Each row's place in a bitmap of ``marked``."""
+    from . import words
+
+    out = np.zeros(len(columns[0]), dtype=np.uint64)
+    for c in columns:
+        out = words.mix(out * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.int64).view(np.uint64) + np.uint64(1))
+    return (out >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def is_marked(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 > 0

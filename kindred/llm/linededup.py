@@ -4,16 +4,24 @@ A line's set is its distinct words. Tokens are ordered by rarity: a sketch of
 token counts, of fixed size, gives every token its place, the hash breaks ties,
 so that all lines agree on one order. Two sets with a Jaccard similarity of t
 or more share a token in their prefixes, the first ``m - ceil(t m) + 1`` tokens;
-so each set is posted under the tokens of its prefix. Pairs under a token must
-pass the length filter, the positional filter and a filter on parity bitmaps
-before their whole sets are compared.
+so each set is posted under the tokens of its prefix. A token that occurs more
+often than ``2**(HOT / 2)`` times would have a long list: lines are posted under
+it together with each later token of a prefix that is one longer, as two sets
+that share it first share another such token as well. Sets too small to have a
+similar set that isn't equal are not posted. Pairs under a token must pass the
+length filter, the positional filter (for the first token that they share) and
+a filter on parity bitmaps before their whole sets are compared.
 
 A line goes if an earlier line (smaller document id, then smaller line number)
 has an equal or similar set. Equal lines are one from the start. A line's
 candidates are gone through from the earliest, so the members of a large group
 of near copies find their match with its first ones and no pairs within the
 group are written out; a line whose first candidates all fail is asked again
-with all of them, under the tokens where it was cut short.
+with all of them, under the tokens where it was cut short. In a long list only
+the classes of size and position that can agree are compared, in blocks.
+
+Token sets are cut out of the texts again for the lines of candidate pairs
+alone, which workers know by a bitmap; so no text is shuffled.
 """
 
 from __future__ import annotations
@@ -30,11 +38,12 @@ from . import common, words
 SIMILARITY = 0.8
 #: Cells by which a second round knows the tokens to ask again: a power of two, so the broadcast stays at 1 MB.
 CELLS = 1 << 20
-#: Bits of the sketch that orders tokens; candidates that a line keeps under one token in the first round; postings of a bucket, and of a line, about.
-SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 18, 2, 400_000, 10
+#: Bits of the sketch that orders tokens (a byte for each cell is broadcast); candidates that a line keeps under one token in the first round; postings of a bucket, and of a line, about.
+SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 22, 2, 400_000, 10
+#: Rarity, twice the logarithm of the count, from which a token is posted with a second one; entries from which a list is long; rows and columns of a block of comparisons.
+HOT, LONG, ROWS, COLUMNS = 30, 64, 256, 4096
 _U = np.uint64
-_CHUNKS = 64
-POSTING = np.dtype([("token", "<u8"), ("bits", "<u8", (2,)), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1")])
+COLUMNS_OF_A_POSTING = (("token", "<u8"), ("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1"))
 
 
 #: Lines that are packed together: their number takes at most 22 bits, which leaves 36 for the hash.
@@ -106,30 +115,68 @@ def _cell(number: np.ndarray) -> np.ndarray:
     return (words.mix(number) & _U(CELLS - 1)).astype(np.int64)
 
 
-def candidates(posts: np.ndarray, t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def prefixes(bounds: np.ndarray, number: np.ndarray, m: np.ndarray, use: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, token, position) of all that the lines ``use`` are posted under."""
+    hot = _U(HOT) << _U(36)
+    size = m[use] - np.ceil(t * m[use] - 1e-9).astype(np.int64) + 1
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    line = np.repeat(use, size)
+    token = number[bounds[line] + at]
+    if t < 2 / 3:  # sets that share one token alone may be similar
+        return line, token, at
+    many = np.flatnonzero(token >= hot)
+    last = np.minimum(m[line[many]] - 1, np.repeat(size, size)[many])  # the last position of the longer prefix
+    more = last - at[many]
+    first = np.repeat(many, more)
+    second = at[first] + 1 + np.arange(len(first)) - np.repeat(np.cumsum(more) - more, more)
+    both = words.mix(token[first] * _U(0x9E3779B97F4A7C15) + number[bounds[line[first]] + second])
+    few = np.flatnonzero(token < hot)
+    return np.concatenate([line[few], line[first]]), np.concatenate([token[few], both]), np.concatenate([at[few], at[first]])
+
+
+def pack(posts: dict[str, np.ndarray]) -> bytes:
+    """Postings column by column, compressed; those of a token lie together."""
+    return pa.compress(b"".join(np.ascontiguousarray(posts[k], dtype=kind).tobytes() for k, kind in COLUMNS_OF_A_POSTING), codec="zstd", asbytes=True)
+
+
+def unpack(blob, count: int) -> dict[str, np.ndarray]:
+    data = pa.decompress(blob, count * sum(np.dtype(k).itemsize for _, k in COLUMNS_OF_A_POSTING), codec="zstd")
+    out, at = {}, 0
+    for k, kind in COLUMNS_OF_A_POSTING:
+        out[k] = np.frombuffer(data, dtype=kind, count=count, offset=at)
+        at += out[k].nbytes
+    return out
+
+
+def _fits(mx, ax, my, ay, t: float):
+    """The length filter, and the positional one for two sets whose first common token is at ``ax`` and ``ay``."""
+    return (np.minimum(mx, my) >= t * np.maximum(mx, my) - 1e-9) & (1 + np.minimum(mx - 1 - ax, my - 1 - ay) >= _need(mx, my, t))
+
+
+def _need(mx, my, t: float):
+    return np.ceil(t / (1 + t) * (mx + my) - 1e-9)
+
+
+def candidates(posts: dict[str, np.ndarray], t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of postings: indexes of (later, earlier) that pass all filters, and of the later ones that may have more than ``first``."""
     cell = (words.mix(posts["token"]) >> _U(42)).astype(np.int64)
     company = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)  # a token posted once pairs nothing
     order = company[np.lexsort((posts["line"][company], posts["doc"][company], posts["token"][company]))]
-    token, doc, line, m, at, bits = (np.ascontiguousarray(posts[k][order]) for k in ("token", "doc", "line", "m", "at", "bits"))
+    token, doc, line, m, at, a, b, ask = (posts[k][order] for k in ("token", "doc", "line", "m", "at", "a", "b", "ask"))
     m, at = m.astype(np.int64), at.astype(np.int64)
-    head = np.ones(len(order), dtype=bool)
-    head[1:] = token[1:] != token[:-1]
-    start = np.flatnonzero(head)[np.cumsum(head) - 1]
+    head = np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), bool), token[1:] != token[:-1]]))
+    length = np.diff(np.append(head, len(order)))
+    start = np.repeat(head, length)
     place = np.arange(len(order)) - start
-    later = np.flatnonzero((place > 0) & (posts["ask"][order] == 1))
-    found = np.zeros(len(order), dtype=np.int8 if first is not None else np.int64)
     out, more = [], []
+    found = np.zeros(len(order), dtype=np.int64)
+    later = np.flatnonzero((place > 0) & (ask == 1) & (np.repeat(length, length) <= LONG))
     step = 0
-    while len(later):
+    while len(later):  # all short lists at once: their first entries, their second ones and so on
         other = start[later] + step
-        mx, my = m[other], m[later]
-        need = np.ceil(t / (1 + t) * (mx + my) - 1e-9)
-        ok = np.minimum(mx, my) >= t * np.maximum(mx, my) - 1e-9
-        ok &= 1 + np.minimum(mx - 1 - at[other], my - 1 - at[later]) + np.minimum(at[other], at[later]) >= need
-        some = np.flatnonzero(ok)
+        some = np.flatnonzero(_fits(m[other], at[other], m[later], at[later], t))
         x, y = other[some], later[some]
-        few = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) <= m[x] + m[y] - 2 * need[some]
+        few = np.bitwise_count(a[x] ^ a[y]).astype(np.int64) + np.bitwise_count(b[x] ^ b[y]) <= m[x] + m[y] - 2 * _need(m[x], m[y], t)
         few &= (doc[x] != doc[y]) | (line[x] != line[y])
         hit = y[few]
         out.append((order[hit], order[x[few]]))
@@ -141,18 +188,59 @@ def candidates(posts: np.ndarray, t: float, first: int | None) -> tuple[np.ndarr
             more.append(order[later[stay & full]])
             stay &= ~full
         later = later[stay]
+    for g in np.flatnonzero(length > LONG):
+        own = slice(head[g], head[g] + length[g])
+        y, x, cut = _in_blocks(doc[own], line[own], m[own], at[own], a[own], b[own], ask[own], t, first)
+        mine = order[own]
+        out.append((mine[y], mine[x]))
+        more.append(mine[cut])
+    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+    return join([y for y, _ in out]), join([x for _, x in out]), join(more)
+
+
+def _in_blocks(doc, line, m, at, a, b, ask, t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``candidates`` of one long list in order: entries of a size and position are compared with those of the sizes and positions that fit, block by block, until each has found its first ones."""
+    kinds, kind = np.unique(m << 32 | at, return_inverse=True)
+    size, place = kinds >> 32, kinds & 0xFFFFFFFF
+    ys, xs, cut = [], [], []
+    for k in range(len(kinds)):
+        fit = _fits(size, place, size[k], place[k], t)
+        if not fit.any():
+            continue
+        most = (size + size[k] - 2 * _need(size, size[k], t)).astype(np.int64)
+        asking, able = np.flatnonzero((kind == k) & (ask == 1)), np.flatnonzero(fit[kind])
+        for i in range(0, len(asking), ROWS):
+            y = asking[i : i + ROWS]
+            found = np.zeros(len(y), dtype=np.int64)
+            for j in range(0, int(np.searchsorted(able, y[-1])), COLUMNS):
+                x = able[j : j + COLUMNS]
+                hit = np.bitwise_count(a[y, None] ^ a[None, x]).astype(np.int16) + np.bitwise_count(b[y, None] ^ b[None, x]) <= most[kind[x]][None, :]
+                hit &= x[None, :] < y[:, None]
+                hit &= (doc[x][None, :] != doc[y][:, None]) | (line[x][None, :] != line[y][:, None])
+                if first is not None:
+                    hit &= np.cumsum(hit, axis=1) + found[:, None] <= first
+                row, column = np.nonzero(hit)
+                ys.append(y[row])
+                xs.append(x[column])
+                found += hit.sum(axis=1)
+                if first is not None:
+                    full = found >= first
+                    cut.append(y[full])
+                    y, found = y[~full], found[~full]
+                if not len(y):
+                    break
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return join([a for a, _ in out]), join([b for _, b in out]), join(more)
+    return join(ys), join(xs), join(cut)
 
 
 def _scan(docs: DataFrame) -> DataFrame:
     """One pass: a row for each line that has words (kind 0), the task's sketch in chunks (1), a row for each document (2)."""
 
     def run(batches):
-        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in common.pieces(batches, 1):
             row, line, owner, token = line_words(batch.column(1))
-            sketch += np.bincount((token >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
+            sketch += np.bincount((token >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
             doc = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             key, count = line_keys(owner, token, len(row))
             has = count > 0
@@ -160,48 +248,37 @@ def _scan(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(doc[row[has]]), pa.array(line[has].astype(np.int32)), pa.array(key[has].view(np.int64)), pa.nulls(n, pa.binary())], NAMES)
             lines = np.bincount(row, minlength=len(doc)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), 2, np.int32)), pa.array(doc), pa.array(lines), pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.binary())], NAMES)
-        chunks = [c.tobytes() for c in sketch.reshape(_CHUNKS, -1)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(_CHUNKS, np.int32)), pa.nulls(_CHUNKS, pa.int64()), pa.array(np.arange(_CHUNKS, dtype=np.int32)), pa.nulls(_CHUNKS, pa.int64()), pa.array(chunks, pa.binary())], NAMES)
+        if sketch.any():
+            n = common.CHUNKS
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.nulls(n, pa.int64()), pa.array(common.packed(sketch.astype(np.uint64)), pa.binary())], NAMES)
 
     NAMES = ["kind", "doc", "line", "key", "blob"]
     return common.arrow(docs, run, "kind int, doc long, line int, key long, blob binary")
 
 
-def _sketch(scanned: DataFrame) -> np.ndarray:
-    """The tasks' sketches added up, first in 32 parts, as a rarity of 6 bits for each cell."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py(), dtype=np.int64) for b in table["blob"])
-        return pa.table({"line": table["line"][:1], "part": table["part"][:1], "blob": pa.array([total.tobytes()], pa.binary())})
-
-    parts = scanned.where("kind = 1").select("line", F.pmod(F.xxhash64("blob"), F.lit(32)).cast("int").alias("part"), "blob")
-    common.ship(scanned.sparkSession)
-    parts = parts.groupBy("line", "part").applyInArrow(add, "line int, part int, blob binary")
-    parts = parts.withColumn("part", F.lit(0)).groupBy("line", "part").applyInArrow(add, "line int, part int, blob binary")
-    rows = sorted(parts.collect(), key=lambda r: r["line"])  # a fixed number of chunks
-    total = np.concatenate([np.frombuffer(r["blob"], dtype=np.int64) for r in rows]) if rows else np.zeros(1 << SKETCH_BITS, np.int64)
-    return np.minimum(63, 2 * np.log2(1 + total)).astype(np.uint8)
+def _rarity(scanned: DataFrame) -> np.ndarray:
+    """Every cell's count as twice its logarithm, in 6 bits."""
+    total = common.combined(scanned.where("kind = 1").select(F.col("line").alias("chunk"), "blob"), np.uint64, 1 << SKETCH_BITS)
+    return np.minimum(63, 2 * np.log2(1 + total.astype(np.float64))).astype(np.uint8)
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(doc, n_lines) of all rows, and (doc, line, key) of the lines that go, numbered from 0.
+    """(doc, n_lines) of all rows, and (doc, line) of the lines that go, numbered from 0; rows may repeat.
 
     Lines are parted by newlines and compared as sets of lower-cased words;
     lines without words never go, and a null text is one empty line. A null id
     comes before all others. Rows with equal ids share their line numbers:
-    lines of one number are never earlier than each other.
+    lines of one number are never earlier than each other. An empty table
+    gives no rows.
     """
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text).alias("text"))
     scanned = common.kept(_scan(docs), "lines")
     lines, totals = scanned.where("kind = 0").select("doc", "line", "key"), scanned.where("kind = 2").selectExpr("doc", "line AS n_lines")
-    rarity = spark.sparkContext.broadcast(_sketch(scanned))
-
-    firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("s")).select("key", F.col("s.doc").alias("doc"), F.col("s.line").alias("line"))
-    firsts = common.kept(firsts, "line-firsts")
-    buckets = max(1, math.ceil(firsts.count() * POSTS_OF_A_LINE / BUCKET_ROWS))
+    rarity = spark.sparkContext.broadcast(_rarity(scanned))
+    buckets = max(1, math.ceil(lines.count() * POSTS_OF_A_LINE / BUCKET_ROWS))
 
-    def posted(batches, asked=None):
+    def posted(batches, cells=None, asking=None, bits=0):
         for batch in common.pieces(batches, 1):
             row, line, owner, token = line_words(batch.column(1))
             key, count = line_keys(owner, token, len(row))
@@ -209,121 +286,131 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             order = np.lexsort((line, doc, key))
             alone = np.zeros(len(order), dtype=bool)  # of equal lines of the batch the first is enough
             alone[order] = np.concatenate([[True], key[order][1:] != key[order][:-1]]) if len(order) else alone
-            bounds, number, m, bits = line_order(owner, token, len(row), rarity.value)
-            use = np.flatnonzero(alone & (count > 0))
-            size = m[use] - np.ceil(t * m[use] - 1e-9).astype(np.int64) + 1
-            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            posted_by, rare = np.repeat(use, size), number[np.repeat(bounds[:-1][use], size) + at]
-            if asked is not None:
-                mine = asked.value[_cell(rare)]
-                posted_by, rare, at = posted_by[mine], rare[mine], at[mine]
-            posts = np.zeros(len(at), dtype=POSTING)
-            posts["token"], posts["at"], posts["ask"] = rare, at, 1
-            for name, column in (("doc", doc), ("line", line), ("m", m), ("bits", bits)):
-                posts[name] = column[posted_by]
-            if asked is not None:  # only these lines look for earlier ones
-                wanted = batch.column(2).to_pylist()
-                mark = np.zeros(len(row), dtype=np.uint8)
-                head = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                mark[[head[i] + k for i, numbers in enumerate(wanted) for k in numbers or () if head[i] + k < head[i + 1]]] = 1
-                posts["ask"] = mark[posted_by]
-            to = (words.mix(posts["token"]) % _U(buckets)).astype(np.int32)
-            order = np.argsort(to, kind="stable")
-            cut = np.searchsorted(to[order], np.arange(buckets + 1))
+            bounds, number, m, marks = line_order(owner, token, len(row), rarity.value)
+            # a set that is similar but not equal has t / (1 - t) tokens at least
+            by, rare, at = prefixes(bounds, number, m, np.flatnonzero(alone & (count > 0) & (m * (1 - t) >= t - 1e-9)), t)
+            ask = np.ones(len(row), dtype=np.uint8)
+            if cells is not None:  # only these lines look for earlier ones, under these tokens
+                mine = cells.value[_cell(rare)]
+                by, rare, at = by[mine], rare[mine], at[mine]
+                ask = common.is_marked(asking.value, common.cells([doc, line], bits)).astype(np.uint8)
+            to = (words.mix(rare) % _U(buckets)).astype(np.int32)
+            order = np.lexsort((rare, to))
+            by, rare, at, to = by[order], rare[order], at[order], to[order]
+            posts = {"token": rare, "a": marks[by, 0], "b": marks[by, 1], "doc": doc[by], "line": line[by], "m": m[by], "at": at, "ask": ask[by]}
+            cut = np.searchsorted(to, np.arange(buckets + 1))
             full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([posts[order[cut[b] : cut[b + 1]]].tobytes() for b in full], pa.binary())], ["bucket", "posts"])
+            blobs = [pack({k: v[cut[b] : cut[b + 1]] for k, v in posts.items()}) for b in full]
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([int(cut[b + 1] - cut[b]) for b in full], pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "n", "posts"])
 
     def paired(first: int | None):
         def run(table: pa.Table) -> pa.Table:
-            posts = np.concatenate([np.frombuffer(b.as_py(), dtype=POSTING) for b in table["posts"]])
+            parts = [unpack(b.as_buffer(), n.as_py()) for b, n in zip(table["posts"], table["n"], strict=True)]
+            posts = {k: np.concatenate([p[k] for p in parts]) for k, _ in COLUMNS_OF_A_POSTING}
+            del parts
             y, x, more = candidates(posts, t, first)
-            both = np.zeros(len(y), dtype=[("a", "i8"), ("b", "i4"), ("c", "i8"), ("d", "i4")])
-            both["a"], both["b"], both["c"], both["d"] = posts["doc"][y], posts["line"][y], posts["doc"][x], posts["line"][x]
-            rest = posts[["doc", "line", "token"]][more]
-            none = len(rest)
+            both = np.empty((len(y), 4), dtype=np.int64)  # a pair that meets under several tokens of the bucket counts once
+            for k, (name, index) in enumerate((("doc", y), ("line", y), ("doc", x), ("line", x))):
+                both[:, k] = posts[name][index]
+            if len(both):
+                order = np.lexsort(both.T)
+                both = both[order][np.concatenate([[True], (np.diff(both[order], axis=0) != 0).any(axis=1)])]
+            none = len(more)
             return pa.table(
                 {
-                    "doc": pa.array(np.concatenate([both["a"], rest["doc"]])), "line": pa.array(np.concatenate([both["b"], rest["line"].astype(np.int32)])),
-                    "doc2": pa.concat_arrays([pa.array(np.ascontiguousarray(both["c"])), pa.nulls(none, pa.int64())]), "line2": pa.concat_arrays([pa.array(np.ascontiguousarray(both["d"])), pa.array(_cell(rest["token"]).astype(np.int32))]),
+                    "doc": pa.array(np.concatenate([both[:, 0], posts["doc"][more]])), "line": pa.array(np.concatenate([both[:, 1], posts["line"][more].astype(np.int64)]).astype(np.int32)),
+                    "doc2": pa.concat_arrays([pa.array(both[:, 2].copy()), pa.nulls(none, pa.int64())]), "line2": pa.array(np.concatenate([both[:, 3], _cell(posts["token"][more])]).astype(np.int32)),
                 }
             )
 
         return run
 
-    def pairs_of(asked: DataFrame, first: int | None, cells=None) -> DataFrame:
-        """Candidates of lines that come first of their equal ones; others go anyway.
-
-        A row without ``doc2`` is a line cut short under a token, whose cell ``line2`` then is.
-        """
-        blobs = common.arrow(asked, lambda batches: posted(batches, cells), "bucket int, posts binary")
-        found = blobs.groupBy("bucket").applyInArrow(paired(first), "doc long, line int, doc2 long, line2 int").distinct()
-        return found.join(firsts.select("doc", "line"), ["doc", "line"], "left_semi")
-
-    def tokens(batches):
-        for batch in common.pieces(batches, 1):
-            row, _, owner, token = line_words(batch.column(1))
-            doc = batch.column(0).to_numpy()
-            head = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            use, of = [], []
-            for i, wanted in enumerate(batch.column(2).to_pylist()):
-                use += [head[i] + k for k in wanted if head[i] + k < head[i + 1]]
-                of += [(doc[i], k) for k in wanted if head[i] + k < head[i + 1]]
-            use = np.array(use, dtype=np.int64)
-            bounds = np.searchsorted(owner, np.arange(len(row) + 1))
-            size = bounds[use + 1] - bounds[use]
-            own = np.repeat(np.arange(len(use)), size)
-            flat = token[np.arange(len(own)) + np.repeat(bounds[use] - np.cumsum(size) + size, size)]
-            order = np.lexsort((flat, own))
-            own, flat = own[order], flat[order]
-            fresh = np.ones(len(flat), dtype=bool)
-            fresh[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
-            cuts = np.searchsorted(own[fresh], np.arange(len(use) + 1))
-            sets = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[fresh].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in of], pa.int64()), pa.array([k for _, k in of], pa.int32()), sets], ["doc", "line", "tokens"])
+    def pairs_of(first: int | None, *asked) -> DataFrame:
+        """Candidates. A row without ``doc2`` is a line cut short under a token, whose cell ``line2`` then is."""
+        blobs = common.arrow(docs, lambda batches: posted(batches, *asked), "bucket int, n int, posts binary")
+        return common.kept(blobs.groupBy("bucket").applyInArrow(paired(first), "doc long, line int, doc2 long, line2 int").distinct(), "line-pairs")
+
+    def token_sets(pairs: DataFrame) -> DataFrame:
+        """(doc, line, tokens) of the lines of pairs, and of a few others that share their marks."""
+        wanted = pairs.select("doc", "line").union(pairs.select("doc2", "line2"))
+        bitmap, bits = common.marked(wanted, ["doc", "line"], 2 * pairs.count())
+        sent = spark.sparkContext.broadcast(bitmap)
+
+        def run(batches):
+            for batch in common.pieces(batches, 1):
+                row, line, owner, token = line_words(batch.column(1))
+                doc = batch.column(0).to_numpy()[row]
+                use = common.is_marked(sent.value, common.cells([doc, line], bits))
+                number = np.cumsum(use) - 1
+                mine = use[owner]
+                own, flat = number[owner[mine]], token[mine]
+                order = np.lexsort((flat, own))
+                own, flat = own[order], flat[order]
+                fresh = np.ones(len(flat), dtype=bool)
+                fresh[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
+                cuts = np.searchsorted(own[fresh], np.arange(int(use.sum()) + 1))
+                sets = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[fresh].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(doc[use]), pa.array(line[use].astype(np.int32)), sets], ["doc", "line", "tokens"])
+
+        return common.kept(common.arrow(docs, run, "doc long, line int, tokens array<long>"), "line-tokens")
 
     def matched(pairs: DataFrame) -> DataFrame:
         """(doc, line) of the later lines of pairs whose whole sets are similar."""
         pairs = pairs.where("doc2 IS NOT NULL")
-        wanted = pairs.select("doc", "line").union(pairs.select("doc2", "line2")).distinct().groupBy("doc").agg(F.collect_set("line").alias("wanted"))
-        known = common.kept(common.arrow(docs.join(wanted, "doc").select("doc", "text", "wanted"), tokens, "doc long, line int, tokens array<long>"), "line-tokens")
-        full = pairs.join(known.withColumnRenamed("tokens", "y"), ["doc", "line"]).join(known.selectExpr("doc AS doc2", "line AS line2", "tokens AS x"), ["doc2", "line2"])
+        sets = token_sets(pairs)
+        full = pairs.join(sets.withColumnRenamed("tokens", "y"), ["doc", "line"]).join(sets.selectExpr("doc AS doc2", "line AS line2", "tokens AS x"), ["doc2", "line2"])
         full = full.withColumn("n", F.size(F.array_intersect("x", "y")))
         return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
 
-    pairs = common.kept(pairs_of(docs, FIRST), "line-pairs")
+    pairs = pairs_of(FIRST)
     gone = common.kept(matched(pairs), "line-matches")
     again = pairs.where("doc2 IS NULL").selectExpr("doc", "line", "line2 AS cell").join(gone, ["doc", "line"], "left_anti")
     again = common.kept(again, "lines-again")
-    found = again.select("cell").distinct().toArrow()["cell"].to_numpy()  # at most CELLS numbers
-    if len(found):
+    open_ = again.count()
+    if open_:
         cells = np.zeros(CELLS, dtype=bool)
-        cells[found] = True
-        cells = spark.sparkContext.broadcast(cells)
-        asked = docs.join(again.groupBy("doc").agg(F.collect_set("line").alias("wanted")), "doc", "left").select("doc", "text", "wanted")
-        gone = gone.union(matched(common.kept(pairs_of(asked, None, cells), "line-pairs"))).distinct()
-    decided = firsts.select("key", F.col("doc").alias("doc1"), F.col("line").alias("line1"))
-    decided = decided.join(gone.selectExpr("doc AS doc1", "line AS line1", "true AS gone"), ["doc1", "line1"], "left")
-    out = lines.join(decided, "key").where("gone OR doc <> doc1 OR line <> line1")
-    return totals, out.select("doc", "line", "key")
+        cells[again.select("cell").distinct().toArrow()["cell"].to_numpy()] = True  # at most CELLS numbers
+        asking, bits = common.marked(again, ["doc", "line"], open_)
+        gone = gone.union(matched(pairs_of(None, spark.sparkContext.broadcast(cells), spark.sparkContext.broadcast(asking), bits)))
+    firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    copies = lines.join(firsts, "key").where(F.struct("doc", "line") != F.col("first")).select("doc", "line")
+    return totals, copies.union(gone)
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_removed, removed (numbers of the lines that go, in order)."""
+    """One row per document: doc_id, n_lines, n_removed, removed (numbers of the lines that go, in order).
+
+    Nulls, repeated rows and empty tables are as in ``removed_lines``; ties
+    can't be, as no two lines have one place.
+    """
     totals, gone = removed_lines(docs, doc_id, text, t)
-    gone = gone.select("doc", "line").distinct().groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    gone = gone.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
     out = totals.join(gone, "doc", "left").withColumn("removed", F.filter(F.coalesce("removed", F.array().cast("array<int>")), lambda x: x < F.col("n_lines")))
     return out.select(F.when(F.col("doc") != -(2**63), F.col("doc")).alias("doc_id"), "n_lines", F.size("removed").alias("n_removed"), "removed")
 
 
 def without_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t: float = SIMILARITY) -> DataFrame:
-    """The documents without the lines that go, all columns kept; a document that loses all its lines goes too."""
+    """The documents without the lines that go, all columns kept, whatever their names; a document that loses all its lines goes too."""
     _, gone = removed_lines(docs, doc_id, text, t)
-    gone = gone.select("doc", "line").distinct().groupBy("doc").agg(F.collect_set("line").alias("__gone"))
-    rows = docs.withColumn("__doc", F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))).join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left")
-    lines = F.split(F.col(text), "\n")
-    left = F.filter(lines, lambda _, i: ~F.array_contains("__gone", i))
-    rows = rows.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-    return rows.where(F.col("__gone").isNull() | (F.trim(F.col(text)) != "")).select(*docs.columns)
+    gone = gone.groupBy(F.col("doc").alias("__kindred_doc")).agg(F.collect_set("line").alias("__kindred_gone"))
+    rows = docs.withColumn("__kindred_doc", F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))).join(gone, "__kindred_doc", "left")
+
+    def cut(batches):
+        for batch in batches:
+            texts, numbers = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            out = []
+            for one, of in zip(texts, numbers, strict=True):
+                drop = set(of)
+                left = "\n".join(x for k, x in enumerate((one or "").split("\n")) if k not in drop)
+                out.append(left if left.strip() else None)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), *batch.columns[2:]], [text, *names])
+
+    names = [c for c in docs.columns if c != text]
+    whole = rows.where("__kindred_gone IS NULL").select(*docs.columns)
+    shorter = rows.where("__kindred_gone IS NOT NULL").select(text, "__kindred_gone", *names)
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (text, *names))
+    return whole.unionByName(common.arrow(shorter, cut, schema).where(F.col(text).isNotNull()))
 
 
 def op3_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
