@@ -48,6 +48,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = PIECE) -
             at = to
 
 
+def list_pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = PIECE // 8) -> Iterator[pa.RecordBatch]:
+    """Cuts Arrow batches so that the lists of each hold about ``limit`` elements."""
+    for batch in batches:
+        offsets, at = batch.column(column).offsets.to_numpy().astype(np.int64), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """mapInArrow, on workers that have this package."""
     ship(df.sparkSession)
