@@ -16,9 +16,10 @@ A line goes if an earlier line (smaller document id, then smaller line number)
 has an equal or similar set. Equal lines are one from the start. A line's
 candidates are gone through from the earliest, so the members of a large group
 of near copies find their match with its first ones and no pairs within the
-group are written out; a line whose first candidates all fail is asked again
-with all of them, under the tokens where it was cut short. In a long list only
-the classes of size and position that can agree are compared, in blocks.
+group are written out. The lists in which a line was cut short are kept, and a
+line whose first candidates all fail goes through them again to the end. Lists
+are cut by size, so that a line meets those of its own class and of the two
+beside it, and long ones are compared in blocks.
 
 Token sets are cut out of the texts again for the lines of candidate pairs
 alone, which workers know by a bitmap; so no text is shuffled.
@@ -36,12 +37,10 @@ from pyspark.sql import functions as F
 from . import common, words
 
 SIMILARITY = 0.8
-#: Cells by which a second round knows the tokens to ask again: a power of two, so the broadcast stays at 1 MB.
-CELLS = 1 << 20
 #: Bits of the sketch that orders tokens (a byte for each cell is broadcast); candidates that a line keeps under one token in the first round; postings of a bucket, and of a line, about.
 SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 22, 2, 400_000, 10
 #: Rarity, twice the logarithm of the count, from which a token is posted with a second one; entries from which a list is long; rows and columns of a block of comparisons.
-HOT, LONG, ROWS, COLUMNS = 30, 64, 256, 4096
+HOT, LONG, ROWS, COLUMNS = 24, 1024, 256, 4096
 _U = np.uint64
 COLUMNS_OF_A_POSTING = (("token", "<u8"), ("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("m", "<u4"), ("at", "<u4"), ("ask", "u1"))
 
@@ -111,10 +110,6 @@ def _run_order(owner: np.ndarray, token: np.ndarray, lines: int, rarity: np.ndar
     return number, np.diff(bounds), marks[bounds[1:]] ^ marks[bounds[:-1]]
 
 
-def _cell(number: np.ndarray) -> np.ndarray:
-    return (words.mix(number) & _U(CELLS - 1)).astype(np.int64)
-
-
 def prefixes(bounds: np.ndarray, number: np.ndarray, m: np.ndarray, use: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, token, position) of all that the lines ``use`` are posted under."""
     hot = _U(HOT) << _U(36)
@@ -160,27 +155,50 @@ def _need(mx, my, t: float):
 def candidates(posts: dict[str, np.ndarray], t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of postings: indexes of (later, earlier) that pass all filters, and of the later ones that may have more than ``first``."""
     cell = (words.mix(posts["token"]) >> _U(42)).astype(np.int64)
-    company = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)  # a token posted once pairs nothing
-    order = company[np.lexsort((posts["line"][company], posts["doc"][company], posts["token"][company]))]
-    token, doc, line, m, at, a, b, ask = (posts[k][order] for k in ("token", "doc", "line", "m", "at", "a", "b", "ask"))
+    some = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)  # a token posted once pairs nothing
+    some = some[np.lexsort((posts["line"][some], posts["doc"][some]))]  # from the earliest on
+    m, at = posts["m"][some].astype(np.int64), posts["at"][some].astype(np.int64)
+    group = np.unique(posts["token"][some], return_inverse=True)[1]
+    # an entry stays if its list has another one of a size that its position leaves possible
+    sizes = np.sort(group << 32 | m)
+    most = np.floor((m - at) * (1 + t) / t - m + 1e-6).astype(np.int64)
+    low, high = np.searchsorted(sizes, group << 32 | np.ceil(t * m - 1e-9).astype(np.int64), "left"), np.searchsorted(sizes, group << 32 | np.clip(most, 0, 2**32 - 1), "right")
+    stay = np.flatnonzero(high - low > (most >= m))
+    some, group, m = some[stay], group[stay], m[stay]
+    # classes of sizes: two sets that may be similar are of one class or of two beside each other, so each is a guest in the next class
+    size = np.minimum(254, np.log(m) / np.log(1.0001 / min(t, 0.999))).astype(np.int64)
+    width = max(1, len(some)).bit_length()
+    every = np.concatenate([((group << 8 | size + k) << width | np.arange(len(some))) << 1 | k for k in (0, 1)])
+    every.sort()  # by token, class and place in time
+    key, guest, order = every >> width + 1, every & 1 > 0, some[(every >> 1) & ((1 << width) - 1)]
+    head = _edges(key)
+    length = np.diff(np.append(head, len(key)))
+    use = np.repeat((length > 1) & (np.add.reduceat((~guest).astype(np.int64), head) > 0), length) if len(key) else guest
+    key, guest, order = key[use], guest[use], order[use]
+    doc, line, m, at, a, b, ask = (posts[k][order] for k in ("doc", "line", "m", "at", "a", "b", "ask"))
     m, at = m.astype(np.int64), at.astype(np.int64)
-    head = np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), bool), token[1:] != token[:-1]]))
+    differ = np.floor((1 - t) / t * m + 1e-6).astype(np.int64)  # elements that are in one of two similar sets alone
+    head = _edges(key)
     length = np.diff(np.append(head, len(order)))
     start = np.repeat(head, length)
     place = np.arange(len(order)) - start
     out, more = [], []
     found = np.zeros(len(order), dtype=np.int64)
+
+    def test(x, y):
+        fit = _fits(m[x], at[x], m[y], at[y], t) & ~(guest[x] & guest[y]) & ((doc[x] != doc[y]) | (line[x] != line[y]))
+        return fit & (np.bitwise_count(a[x] ^ a[y]).astype(np.int64) + np.bitwise_count(b[x] ^ b[y]) <= m[x] + m[y] - 2 * _need(m[x], m[y], t))
+
     later = np.flatnonzero((place > 0) & (ask == 1) & (np.repeat(length, length) <= LONG))
     step = 0
     while len(later):  # all short lists at once: their first entries, their second ones and so on
         other = start[later] + step
-        some = np.flatnonzero(_fits(m[other], at[other], m[later], at[later], t))
-        x, y = other[some], later[some]
-        few = np.bitwise_count(a[x] ^ a[y]).astype(np.int64) + np.bitwise_count(b[x] ^ b[y]) <= m[x] + m[y] - 2 * _need(m[x], m[y], t)
-        few &= (doc[x] != doc[y]) | (line[x] != line[y])
-        hit = y[few]
-        out.append((order[hit], order[x[few]]))
-        found[hit] += 1
+        near = np.flatnonzero(np.bitwise_count(a[other] ^ a[later]) <= differ[later])
+        x, y = other[near], later[near]
+        hit = test(x, y)
+        x, y = x[hit], y[hit]
+        out.append((order[y], order[x]))
+        found[y] += 1
         step += 1
         stay = place[later] > step
         if first is not None:
@@ -189,48 +207,33 @@ def candidates(posts: dict[str, np.ndarray], t: float, first: int | None) -> tup
             stay &= ~full
         later = later[stay]
     for g in np.flatnonzero(length > LONG):
-        own = slice(head[g], head[g] + length[g])
-        y, x, cut = _in_blocks(doc[own], line[own], m[own], at[own], a[own], b[own], ask[own], t, first)
-        mine = order[own]
-        out.append((mine[y], mine[x]))
-        more.append(mine[cut])
-    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return join([y for y, _ in out]), join([x for _, x in out]), join(more)
-
-
-def _in_blocks(doc, line, m, at, a, b, ask, t: float, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``candidates`` of one long list in order: entries of a size and position are compared with those of the sizes and positions that fit, block by block, until each has found its first ones."""
-    kinds, kind = np.unique(m << 32 | at, return_inverse=True)
-    size, place = kinds >> 32, kinds & 0xFFFFFFFF
-    ys, xs, cut = [], [], []
-    for k in range(len(kinds)):
-        fit = _fits(size, place, size[k], place[k], t)
-        if not fit.any():
-            continue
-        most = (size + size[k] - 2 * _need(size, size[k], t)).astype(np.int64)
-        asking, able = np.flatnonzero((kind == k) & (ask == 1)), np.flatnonzero(fit[kind])
+        mine = head[g] + np.arange(length[g])
+        asking = mine[ask[mine] == 1]
         for i in range(0, len(asking), ROWS):
             y = asking[i : i + ROWS]
-            found = np.zeros(len(y), dtype=np.int64)
-            for j in range(0, int(np.searchsorted(able, y[-1])), COLUMNS):
-                x = able[j : j + COLUMNS]
-                hit = np.bitwise_count(a[y, None] ^ a[None, x]).astype(np.int16) + np.bitwise_count(b[y, None] ^ b[None, x]) <= most[kind[x]][None, :]
-                hit &= x[None, :] < y[:, None]
-                hit &= (doc[x][None, :] != doc[y][:, None]) | (line[x][None, :] != line[y][:, None])
-                if first is not None:
-                    hit &= np.cumsum(hit, axis=1) + found[:, None] <= first
-                row, column = np.nonzero(hit)
-                ys.append(y[row])
-                xs.append(x[column])
-                found += hit.sum(axis=1)
+            count = np.zeros(len(y), dtype=np.int64)
+            for j in range(head[g], y[-1], COLUMNS):
+                x = np.arange(j, min(j + COLUMNS, y[-1]))
+                row, column = np.nonzero(np.bitwise_count(a[y, None] ^ a[None, x]) <= differ[y].max())
+                fit = test(x[column], y[row]) & (x[column] < y[row])
+                row, column = row[fit], column[fit]
+                if first is not None:  # rows are in order: the place of a hit in its row
+                    fit = np.arange(len(row)) - np.searchsorted(row, row) + count[row] < first
+                    row, column = row[fit], column[fit]
+                out.append((order[y[row]], order[x[column]]))
+                count += np.bincount(row, minlength=len(y))
                 if first is not None:
-                    full = found >= first
-                    cut.append(y[full])
-                    y, found = y[~full], found[~full]
+                    more.append(order[y[count >= first]])
+                    y, count = y[count < first], count[count < first]
                 if not len(y):
                     break
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return join(ys), join(xs), join(cut)
+    return join([y for y, _ in out]), join([x for _, x in out]), join(more)
+
+
+def _edges(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
 
 
 def _scan(docs: DataFrame) -> DataFrame:
@@ -278,7 +281,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     rarity = spark.sparkContext.broadcast(_rarity(scanned))
     buckets = max(1, math.ceil(lines.count() * POSTS_OF_A_LINE / BUCKET_ROWS))
 
-    def posted(batches, cells=None, asking=None, bits=0):
+    def posted(batches):
         for batch in common.pieces(batches, 1):
             row, line, owner, token = line_words(batch.column(1))
             key, count = line_keys(owner, token, len(row))
@@ -289,46 +292,46 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             bounds, number, m, marks = line_order(owner, token, len(row), rarity.value)
             # a set that is similar but not equal has t / (1 - t) tokens at least
             by, rare, at = prefixes(bounds, number, m, np.flatnonzero(alone & (count > 0) & (m * (1 - t) >= t - 1e-9)), t)
-            ask = np.ones(len(row), dtype=np.uint8)
-            if cells is not None:  # only these lines look for earlier ones, under these tokens
-                mine = cells.value[_cell(rare)]
-                by, rare, at = by[mine], rare[mine], at[mine]
-                ask = common.is_marked(asking.value, common.cells([doc, line], bits)).astype(np.uint8)
             to = (words.mix(rare) % _U(buckets)).astype(np.int32)
             order = np.lexsort((rare, to))
             by, rare, at, to = by[order], rare[order], at[order], to[order]
-            posts = {"token": rare, "a": marks[by, 0], "b": marks[by, 1], "doc": doc[by], "line": line[by], "m": m[by], "at": at, "ask": ask[by]}
+            posts = {"token": rare, "a": marks[by, 0], "b": marks[by, 1], "doc": doc[by], "line": line[by], "m": m[by], "at": at, "ask": np.ones(len(by), np.uint8)}
             cut = np.searchsorted(to, np.arange(buckets + 1))
             full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
             blobs = [pack({k: v[cut[b] : cut[b + 1]] for k, v in posts.items()}) for b in full]
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([int(cut[b + 1] - cut[b]) for b in full], pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "n", "posts"])
 
-    def paired(first: int | None):
-        def run(table: pa.Table) -> pa.Table:
-            parts = [unpack(b.as_buffer(), n.as_py()) for b, n in zip(table["posts"], table["n"], strict=True)]
-            posts = {k: np.concatenate([p[k] for p in parts]) for k, _ in COLUMNS_OF_A_POSTING}
-            del parts
-            y, x, more = candidates(posts, t, first)
-            both = np.empty((len(y), 4), dtype=np.int64)  # a pair that meets under several tokens of the bucket counts once
-            for k, (name, index) in enumerate((("doc", y), ("line", y), ("doc", x), ("line", x))):
-                both[:, k] = posts[name][index]
-            if len(both):
-                order = np.lexsort(both.T)
-                both = both[order][np.concatenate([[True], (np.diff(both[order], axis=0) != 0).any(axis=1)])]
-            none = len(more)
-            return pa.table(
-                {
-                    "doc": pa.array(np.concatenate([both[:, 0], posts["doc"][more]])), "line": pa.array(np.concatenate([both[:, 1], posts["line"][more].astype(np.int64)]).astype(np.int32)),
-                    "doc2": pa.concat_arrays([pa.array(both[:, 2].copy()), pa.nulls(none, pa.int64())]), "line2": pa.array(np.concatenate([both[:, 3], _cell(posts["token"][more])]).astype(np.int32)),
-                }
-            )
-
-        return run
-
-    def pairs_of(first: int | None, *asked) -> DataFrame:
-        """Candidates. A row without ``doc2`` is a line cut short under a token, whose cell ``line2`` then is."""
-        blobs = common.arrow(docs, lambda batches: posted(batches, *asked), "bucket int, n int, posts binary")
-        return common.kept(blobs.groupBy("bucket").applyInArrow(paired(first), "doc long, line int, doc2 long, line2 int").distinct(), "line-pairs")
+    def rows_of(posts, y, x, more, blob: bytes | None = None, n: int = 0) -> pa.Table:
+        """Pairs, each once, then the lines that were cut short, then the lists in which they were."""
+        both = np.empty((len(y), 4), dtype=np.int64)
+        for k, (name, index) in enumerate((("doc", y), ("line", y), ("doc", x), ("line", x))):
+            both[:, k] = posts[name][index]
+        if len(both):
+            both = both[np.lexsort(both.T)]
+            both = both[np.concatenate([[True], (np.diff(both, axis=0) != 0).any(axis=1)])]
+        cut, last = len(more), int(blob is not None)
+        number = lambda x: pa.array(x.astype(np.int32))
+        return pa.table(
+            {
+                "doc": pa.concat_arrays([pa.array(both[:, 0].copy()), pa.array(posts["doc"][more]), pa.nulls(last, pa.int64())]), "line": pa.concat_arrays([number(both[:, 1]), number(posts["line"][more]), pa.nulls(last, pa.int32())]),
+                "doc2": pa.concat_arrays([pa.array(both[:, 2].copy()), pa.nulls(cut + last, pa.int64())]), "line2": pa.concat_arrays([number(both[:, 3]), pa.nulls(cut + last, pa.int32())]),
+                "n": pa.array([0] * (len(both) + cut) + [n] * last, pa.int32()), "posts": pa.array([None] * (len(both) + cut) + [blob] * last, pa.binary()),
+            }
+        )
+
+    def paired(table: pa.Table) -> pa.Table:
+        parts = [unpack(b.as_buffer(), n.as_py()) for b, n in zip(table["posts"], table["n"], strict=True)]
+        posts = {k: np.concatenate([p[k] for p in parts]) for k, _ in COLUMNS_OF_A_POSTING}
+        del parts
+        y, x, more = candidates(posts, t, FIRST)
+        if not len(more):
+            return rows_of(posts, y, x, more)
+        again = np.isin(posts["token"], np.unique(posts["token"][more]))
+        return rows_of(posts, y, x, more, pack({k: v[again] for k, v in posts.items()}), int(again.sum()))
+
+    kinds = "doc long, line int, doc2 long, line2 int, n int, posts binary"
+    blobs = common.arrow(docs, posted, "bucket int, n int, posts binary")
+    paired_rows = common.kept(blobs.groupBy("bucket").applyInArrow(paired, kinds), "line-pairs")
 
     def token_sets(pairs: DataFrame) -> DataFrame:
         """(doc, line, tokens) of the lines of pairs, and of a few others that share their marks."""
@@ -356,22 +359,29 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
 
     def matched(pairs: DataFrame) -> DataFrame:
         """(doc, line) of the later lines of pairs whose whole sets are similar."""
-        pairs = pairs.where("doc2 IS NOT NULL")
+        pairs = common.kept(pairs.where("doc2 IS NOT NULL").select("doc", "line", "doc2", "line2").distinct(), "line-candidates")
         sets = token_sets(pairs)
         full = pairs.join(sets.withColumnRenamed("tokens", "y"), ["doc", "line"]).join(sets.selectExpr("doc AS doc2", "line AS line2", "tokens AS x"), ["doc2", "line2"])
         full = full.withColumn("n", F.size(F.array_intersect("x", "y")))
         return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
 
-    pairs = pairs_of(FIRST)
-    gone = common.kept(matched(pairs), "line-matches")
-    again = pairs.where("doc2 IS NULL").selectExpr("doc", "line", "line2 AS cell").join(gone, ["doc", "line"], "left_anti")
+    gone = common.kept(matched(paired_rows), "line-matches")
+    again = paired_rows.where("doc IS NOT NULL AND doc2 IS NULL").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
     again = common.kept(again, "lines-again")
     open_ = again.count()
     if open_:
-        cells = np.zeros(CELLS, dtype=bool)
-        cells[again.select("cell").distinct().toArrow()["cell"].to_numpy()] = True  # at most CELLS numbers
-        asking, bits = common.marked(again, ["doc", "line"], open_)
-        gone = gone.union(matched(pairs_of(None, spark.sparkContext.broadcast(cells), spark.sparkContext.broadcast(asking), bits)))
+        bitmap, bits = common.marked(again, ["doc", "line"], open_)
+        asking = spark.sparkContext.broadcast(bitmap)
+
+        def whole(batches):
+            for batch in batches:
+                for n, blob in zip(batch.column(0), batch.column(1), strict=True):
+                    posts = unpack(blob.as_buffer(), n.as_py())
+                    posts["ask"] = common.is_marked(asking.value, common.cells([posts["doc"], posts["line"]], bits)).astype(np.uint8)
+                    yield from rows_of(posts, *candidates(posts, t, None)).to_batches()
+
+        lists = paired_rows.where("posts IS NOT NULL").select("n", "posts")
+        gone = gone.union(matched(common.arrow(lists, whole, kinds)))
     firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
     copies = lines.join(firsts, "key").where(F.struct("doc", "line") != F.col("first")).select("doc", "line")
     return totals, copies.union(gone)
