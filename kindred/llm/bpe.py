@@ -10,11 +10,14 @@ are open, from the longest to the shortest, and a step gives the next state and
 the tokens that may end there; both are kept by (state, byte). The token before
 each open path is a register: for every prefix of the input one token is its
 last, the one that agrees with the last token of the prefix that it leaves.
-What all open paths have in common is certain and is given out, so the
-lookahead is no longer than the longest token that is open.
-
-``StreamDecoder`` turns ids into text as they come: a state machine over the
-bytes holds back the bytes of an unfinished character.
+What all open paths have in common is certain and is given out: ``stream`` keeps
+registers for the bytes behind the last token given out alone, so what it holds
+is a window of a few tokens, however long the input. A match that is shorter
+than a window is encoded at once: its bytes are the lookahead.
+
+``StreamDecoder`` turns ids into text as they come. It is a state machine over
+bytes whose state is the unfinished character; it is determinised over tokens
+as they are met, so a token that was met in a state is one look-up.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Pairs of tokens and words that a worker keeps; beyond that a table starts anew. States are no more than trie places.
-MAX_PAIRS, MAX_WORDS = 1_000_000, 700_000
+#: Pairs of tokens that a worker keeps, beyond which their table starts anew; bytes of words, each with OVERHEAD more, in either of its two generations. States are no more than trie places.
+MAX_PAIRS, MAX_BYTES, OVERHEAD = 400_000, 32 << 20, 200
+#: Bytes of text that are split at once; bytes of a match from which it is streamed, and after which a stream looks for what is certain.
+PIECE, WINDOW, EVERY = 1 << 20, 256, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -189,51 +194,102 @@ class Transducer:
             yield self.back(last, len(piece))
 
     def stream(self, data: Iterable[bytes]) -> Iterator[int]:
-        """The ids of one piece that comes in parts, each given out as soon as all open paths share it."""
-        last, state, given = [-1], 0, 0
+        """The ids of one piece that comes in parts, each given out once all open paths share it.
+
+        ``last`` has the registers of the window alone: its first entry is the
+        last token given out, with which the next one must agree. Every ``EVERY`` bytes the
+        window's certain tokens are given out and their registers dropped. The
+        longest open path began no earlier than the window, so none looks back
+        beyond it.
+        """
+        last, state, due = [-1], 0, EVERY
         for part in data:
             for byte in part:
                 state = self.read(byte, state, last)
-                at = len(last) - 1
-                paths = [self.back(last, at - length, given) for _, length in self.states[state] if at - length >= given]
-                paths.append(self.back(last, at, given))
+                due -= 1
+                if due:
+                    continue
+                due, at, given = EVERY, len(last) - 1, 0
+                paths = [self.back(last, at - length) for _, length in (*self.states[state], (0, 0))]
                 for ids in zip(*paths, strict=False):
                     if len(set(ids)) > 1:
                         break
                     given += len(self.token[ids[0]])
                     yield ids[0]
-        yield from self.back(last, len(last) - 1, given)
+                del last[:given]
+        yield from self.back(last, len(last) - 1)
 
 
-#: Bytes that follow a first byte, by its high five bits; -1 where none can start.
-FOLLOW = [0] * 16 + [-1] * 8 + [1] * 4 + [2] * 2 + [3, -1]
+def _follow(byte: int) -> tuple[int, int, int]:
+    """Of a first byte: how many bytes follow, and the bounds of the next one; -1 where no character starts."""
+    if byte < 0x80:
+        return 0, 0, 0
+    if 0xC2 <= byte < 0xE0:
+        return 1, 0x80, 0xBF
+    if 0xE0 <= byte < 0xF0:
+        return 2, 0xA0 if byte == 0xE0 else 0x80, 0x9F if byte == 0xED else 0xBF
+    if 0xF0 <= byte < 0xF5:
+        return 3, 0x90 if byte == 0xF0 else 0x80, 0x8F if byte == 0xF4 else 0xBF
+    return -1, 0, 0
 
 
-class StreamDecoder:
-    """Gives text as ids come; an unfinished character waits for its other bytes.
+def utf8_step(state: bytes, byte: int) -> tuple[bytes, str]:
+    """The machine over bytes: from the bytes of an unfinished character and the next byte, the new state and what is certain.
 
-    ``pending`` is the machine's state: the bytes of a character that has begun.
-    Bytes that can't be UTF-8 become U+FFFD.
+    Bytes that can't be UTF-8 become U+FFFD, the longest beginning of a
+    character once.
     """
+    if state:
+        more, low, high = _follow(state[0])
+        if len(state) > 1:
+            low, high = 0x80, 0xBF
+        if low <= byte <= high:
+            whole = state + bytes([byte])
+            return (b"", whole.decode()) if len(whole) > more else (whole, "")
+        after, text = utf8_step(b"", byte)
+        return after, "\ufffd" + text
+    more = _follow(byte)[0]
+    if more < 0:
+        return b"", "\ufffd"
+    return (bytes([byte]), "") if more else (b"", chr(byte))
+
+
+class Decoder:
+    """The machine over tokens: steps by state and token, made from ``utf8_step`` when they are met."""
 
     def __init__(self, token: dict[int, bytes]):
-        self.token, self.pending = token, b""
+        self.token, self.steps = token, {b"": {}}
+
+    def step(self, state: bytes, token: int) -> tuple[bytes, str]:
+        after, out = state, []
+        for byte in self.token[token]:
+            after, text = utf8_step(after, byte)
+            out.append(text)
+        self.steps.setdefault(after, {})
+        found = self.steps[state][token] = (after, "".join(out))
+        return found
+
+
+class StreamDecoder:
+    """Gives text as ids come; an unfinished character waits for its other bytes in ``state``."""
+
+    def __init__(self, machine: Decoder):
+        self.machine, self.state = machine, b""
 
     def push(self, ids: Iterable[int]) -> str:
-        data = self.pending + b"".join(map(self.token.__getitem__, ids))
-        cut = len(data)
-        for back in range(1, min(3, len(data)) + 1):
-            follow = FOLLOW[data[-back] >> 3]
-            if follow >= 0:  # a character starts here; is it whole?
-                if follow >= back:
-                    cut = len(data) - back
-                break
-        self.pending = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        steps, state, out = self.machine.steps, self.state, []
+        row = steps[state]
+        for token in ids:
+            after, text = row.get(token) or self.machine.step(state, token)
+            out.append(text)
+            if after != state:
+                state, row = after, steps[after]
+        self.state = state
+        return "".join(out)
 
     def close(self) -> str:
-        data, self.pending = self.pending, b""
-        return data.decode("utf-8", "replace")
+        state, self.state = self.state, b""
+        return "\ufffd" if state else ""
 
 
 #: For texts of these characters alone, PLAIN splits as the public pattern does: the two classes of letters agree on them.
@@ -242,7 +298,11 @@ PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|
 
 
 class Tokenizer:
-    """Splits texts by a pattern and encodes each match; keeps what the transducer gave for the matches that it met."""
+    """Splits texts by a pattern and encodes each match; keeps what the transducer gave for the matches that it met lately.
+
+    Matches are kept in two generations of ``MAX_BYTES``: when the young one is
+    full it becomes the old one, and what is met again in the old one moves on.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import public_tokenizers
@@ -252,7 +312,10 @@ class Tokenizer:
         self.full = regex.compile(pattern).findall
         self.public = pattern == public_tokenizers.PATTERN
         self.token = self.machine.token
+        self.decoder = Decoder(self.token)
         self.known: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+        self.held = 0
 
     def split(self, text: str) -> list[str]:
         return PLAIN.findall(text) if self.public and not COMMON.search(text) else self.full(text)
@@ -260,16 +323,33 @@ class Tokenizer:
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
         """The ids of each text; matches that are new to the table are encoded in one go, sorted."""
         matches = [self.split(t) for t in texts]
+        if self.held > MAX_BYTES:
+            self.known, self.old, self.held = {}, self.known, 0
         known = self.known
-        new = set().union(*matches).difference(known)
-        if len(known) + len(new) > MAX_WORDS:
-            wanted = set().union(*matches)
-            self.known = known = {k: v for k, v in known.items() if k in wanted}
-        pieces = sorted(w.encode("utf-8", "surrogatepass") for w in new)
+        missing = set().union(*matches).difference(known)
+        pieces, long_ = [], {}
+        for word in missing:
+            ids = self.old.get(word)
+            if ids is None:
+                data = word.encode("utf-8", "surrogatepass")
+                if len(data) > WINDOW:  # as many ids as it has, none kept
+                    long_[word] = data
+                else:
+                    pieces.append(data)
+            else:
+                known[word] = ids
+                self.held += len(word) + OVERHEAD
+        pieces.sort()
         for piece, ids in zip(pieces, self.machine.encode_sorted(pieces), strict=True):
             known[piece.decode("utf-8", "surrogatepass")] = ids
+            self.held += len(piece) + OVERHEAD
+        for word, data in long_.items():
+            long_[word] = list(self.machine.stream([data]))
         for one in matches:
-            yield list(chain.from_iterable(map(known.__getitem__, one)))
+            if long_:
+                yield list(chain.from_iterable(long_[w] if w in long_ else known[w] for w in one))
+            else:
+                yield list(chain.from_iterable(map(known.__getitem__, one)))
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
@@ -290,15 +370,16 @@ def tokenizer(ranks, pattern: str) -> Tokenizer:
     return _BUILT[key][1]
 
 
-def _pieces(text: str, size: int = 1 << 12) -> Iterator[slice]:
+def _pieces(text: list, size: int = 1 << 12) -> Iterator[slice]:
     return (slice(i, i + size) for i in range(0, len(text), size))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and ids array<int>, n_tokens, decoded (the text given back by the stream decoder).
 
-    A null text is taken as empty and has no ids. The ranks, a vocabulary of
-    fixed size, are broadcast.
+    A null text is taken as empty and has no ids; repeated rows are encoded
+    each, an empty table gives no rows. The ranks, a vocabulary of fixed size,
+    are broadcast.
     """
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
     rows = docs.select(*keep, F.col(text).alias("__text"))
@@ -306,11 +387,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
     def run(batches):
         use = tokenizer(sent.value, pattern)
-        for batch in common.pieces(batches, len(keep)):
+        for batch in common.pieces(batches, len(keep), PIECE):
             ids = list(use.encode_all([t or "" for t in batch.column(len(keep)).to_pylist()]))
             decoded = []
             for one in ids:
-                stream = StreamDecoder(use.token)
+                stream = StreamDecoder(use.decoder)
                 decoded.append("".join([stream.push(one[s]) for s in _pieces(one)] + [stream.close()]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64()), pa.array(decoded, pa.string())],
@@ -321,18 +402,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): the same encoding, of which only digests leave the worker."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): the same encoding, of which only digests leave the worker.
+
+    Null texts, repeated rows and empty tables are as in ``encode``.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
         use = tokenizer(sent.value, pattern)
         digits = {i: str(i) for i in use.token}
-        for batch in common.pieces(batches, 1):
+        for batch in common.pieces(batches, 1, PIECE):
             n, a, b = [], [], []
             for ids in use.encode_all([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(len(ids))
                 a.append(hashlib.sha256(",".join(map(digits.__getitem__, ids)).encode()).hexdigest())
-                stream, total = StreamDecoder(use.token), hashlib.sha256()
+                stream, total = StreamDecoder(use.decoder), hashlib.sha256()
                 for s in _pieces(ids):
                     total.update(stream.push(ids[s]).encode())
                 total.update(stream.close().encode())

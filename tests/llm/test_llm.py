@@ -1,5 +1,6 @@
 """The corpus operators against brute force, exact round trips and hard cases."""
 
+import hashlib
 import math
 import random
 
@@ -43,11 +44,28 @@ def test_bpe_is_tiktokens(spark):
     got = {r["doc_id"]: r for r in bpe.encode(docs(spark, texts), ranks, pattern).collect()}
     for i, t in enumerate(texts):
         assert got[i]["ids"] == theirs.encode_ordinary(t) and got[i]["decoded"] == t
+    rows = {r["doc_id"]: r for r in bpe.digests(docs(spark, texts), ranks, pattern).collect()}
+    for i, t in enumerate(texts):
+        ids = theirs.encode_ordinary(t)
+        want = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(theirs.decode_bytes(ids)).hexdigest())
+        assert (rows[i]["n_tokens"], rows[i]["ids_sha256"], rows[i]["decoded_sha256"]) == want
     machine = bpe.Transducer(ranks)
     assert list(machine.stream([b"the tion", b"and"])) == machine.encode(b"the tionand")
-    stream = bpe.StreamDecoder(machine.token)
-    ids = [machine.single[b] for b in "é漢😀!".encode()]
-    assert "".join(stream.push([i]) for i in ids) + stream.close() == "é漢😀!"
+    for size in (300, 5000):  # long matches go through the window
+        for letters in ("ab", "abcdefghij", "x", "\u00e9a", "ione"):
+            piece = "".join(rng.choice(letters) for _ in range(size)).encode()
+            assert list(machine.stream([piece[:100], piece[100:]])) == theirs._encode_single_piece(piece)
+
+
+def test_decoder_is_the_machine_over_bytes():
+    rng = random.Random(2)
+    tokens = {i: bytes([i]) for i in range(256)} | {256 + i: bytes(rng.choice(b"ab\xe2\x82\xac\xf0\x9f\x98\x80\xff\xc3\xed\xa0") for _ in range(rng.randint(1, 5))) for i in range(300)}
+    machine = bpe.Decoder(tokens)
+    for _ in range(300):
+        ids = [rng.choice((rng.randrange(556), rng.randrange(0x80, 0x100), 0xE2, 0x82, 0xF0, 0x9F)) for _ in range(rng.randint(0, 12))]
+        stream = bpe.StreamDecoder(machine)
+        got = "".join(stream.push([i]) for i in ids) + stream.close()
+        assert got == b"".join(tokens[i] for i in ids).decode("utf-8", "replace")
 
 
 def shingle_set(text):
