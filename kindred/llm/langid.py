@@ -143,8 +143,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     return {k: _unit(v) for k, v in sorted(out.items())}
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The columns ``keep``, lang_pred and score, the cosine, 0 at least.
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str, ...] = ("doc_id",), text: str = "text", names_out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep``, lang_pred and score (or what ``names_out`` says), the cosine, 0 at least.
 
     A text that is null or has no letter, or any text if there are no
     prototypes, gets ``und`` and 0. Equal cosines go to the first language by
@@ -166,9 +166,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str
                 sure = (has > 0) & bool(names)
                 langs += [names[k] if ok else UND for k, ok in zip(best, sure, strict=True)]
                 scores += np.where(sure, np.clip(cosine[np.arange(b - a), best], 0, 1), 0.0).astype(float).tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, *names_out])
 
-    return common.arrow(rows, run, f"{schema}, lang_pred string, score double")
+    return common.arrow(rows, run, f"{schema}, `{names_out[0]}` string, `{names_out[1]}` double")
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

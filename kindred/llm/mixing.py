@@ -56,41 +56,48 @@ def targets(sources: list[tuple[str | None, int]], max_epochs: int = MAX_EPOCHS)
     return out
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17) -> DataFrame:
+def _keyed(docs: DataFrame, doc_id: str, text: str, source: str, seed: int, *more) -> DataFrame:
+    """(doc_id, source, size, key) and what else is asked for."""
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size_of(text).alias("size"), F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), F.col(text)).alias("key"), *more)
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17, rows: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, epochs (whole copies), rest (words of a cut copy).
 
-    Null texts have size 0 and are taken 0 times; a null source is a source of
-    its own; rows with equal ids are told apart by their order in the key's
-    ties, which their sizes decide, so that equal rows share what they get in
-    any order. An empty table gives an empty result.
+    With ``rows`` the document itself comes along, as a struct ``row`` of all
+    its columns, whatever their names. Null texts have size 0 and are taken 0
+    times; a null source is a source of its own. Null and repeated ids are
+    told apart by their texts; rows that are equal in both, which have equal
+    sizes, share what they get in any order. An empty table gives an empty
+    result.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size_of(text).alias("size"))
-    sized = common.kept(sized.withColumn("key", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "source")), "mixing-sizes")
-    rows = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("docs")).collect()  # a row for each source
-    target = targets([(r["source"], int(r["n"])) for r in rows])
+    sized = common.kept(_keyed(docs, doc_id, text, source, seed), "mixing-sizes")
+    found = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("docs")).collect()  # a row for each source
+    target = targets([(r["source"], int(r["n"])) for r in found])
     known = spark.createDataFrame(
-        [(r["source"], int(r["n"]), float(target[r["source"]]), min(int(round(target[r["source"]])), MAX_EPOCHS * int(r["n"]))) for r in rows],
+        [(r["source"], int(r["n"]), float(target[r["source"]]), min(int(round(target[r["source"]])), MAX_EPOCHS * int(r["n"]))) for r in found],
         "source string, source_size long, target double, budget long",
     )
-    most = max((r["docs"] for r in rows), default=1)
+    most = max((r["docs"] for r in found), default=1)
     bits = min(40, COARSE_BITS + max(0, (most // (RANGE_ROWS << COARSE_BITS)).bit_length()))
     fine = F.shiftrightunsigned("key", 64 - bits)
-    sized = sized.withColumn("fine", fine)
-    sums = sized.groupBy("source", "fine").agg(F.sum("size").alias("n")).withColumn("coarse", F.shiftright("fine", bits - COARSE_BITS))
+    sums = sized.groupBy("source", fine.alias("fine")).agg(F.sum("size").alias("n")).withColumn("coarse", F.shiftright("fine", bits - COARSE_BITS))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     coarse = sums.groupBy("source", "coarse").agg(F.sum("n").alias("n")).select("source", "coarse", before(Window.partitionBy("source").orderBy("coarse")).alias("coarse_before"))
     ranges = sums.select("source", "coarse", "fine", before(Window.partitionBy("source", "coarse").orderBy("fine")).alias("fine_before"))
     ranges = ranges.alias("r").join(coarse.alias("c"), F.expr("r.source <=> c.source AND r.coarse = c.coarse")).selectExpr("r.source", "fine", "fine_before + coarse_before AS start")
     ranges = ranges.alias("r").join(F.broadcast(known).alias("k"), F.expr("r.source <=> k.source")).selectExpr("r.source AS source", "fine", "start", "source_size", "target", "budget")  # a row for each source
+    if rows:
+        sized = _keyed(docs, doc_id, text, source, seed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     inside = Window.partitionBy("source", "fine").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = sized.withColumn("fine", fine).withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     out = placed.alias("d").join(ranges.alias("r"), F.expr("d.source <=> r.source AND d.fine = r.fine")).selectExpr(
-        "doc_id", "d.source AS source", "size", "source_size", "target",
+        "doc_id", "d.source AS source", "size", "source_size", "target", *["row"] * rows,
         "CASE WHEN source_size > 0 THEN budget DIV source_size ELSE 0 END AS epochs",
         "CASE WHEN source_size > 0 THEN greatest(0L, least(size, budget % source_size - (start + inside))) ELSE 0L END AS rest",
     )
-    return out.selectExpr("doc_id", "source", "size", "source_size", "target", "epochs * size + rest AS taken", "epochs", "rest")
+    return out.selectExpr("doc_id", "source", "size", "source_size", "target", "epochs * size + rest AS taken", "epochs", "rest", *["row"] * rows)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
