@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kindred.session import shared_dir, ship
 
 #: Bytes of text that a Python step works on at once; a longer single text is taken whole.
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,8 +93,8 @@ def combined(parts: DataFrame, kind: np.dtype, size: int, add=np.add) -> np.ndar
 
 
 def marked(rows: DataFrame, columns: list[str], count: int) -> tuple[np.ndarray, int]:
-    """A bitmap of the hashes of rows, eight bits a row within 2**20 and 2**28 bits, and its logarithm: rows beyond that make more bits stand for rows that aren't there, and lose none."""
-    bits = min(28, max(20, (8 * count).bit_length()))
+    """A bitmap of the hashes of rows, 32 to 64 bits a row within 2**20 and 2**28 bits, and its logarithm: rows beyond that make more bits stand for rows that aren't there, and lose none."""
+    bits = min(28, max(20, (32 * count).bit_length()))
 
     def run(batches):
         out = np.zeros(1 << bits, dtype=bool)

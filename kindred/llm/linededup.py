@@ -38,7 +38,7 @@ from . import common, words
 
 SIMILARITY = 0.8
 #: Bits of the sketch that orders tokens (a byte for each cell is broadcast); candidates that a line keeps under one token in the first round; postings of a bucket, and of a line, about.
-SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 22, 2, 400_000, 10
+SKETCH_BITS, FIRST, BUCKET_ROWS, POSTS_OF_A_LINE = 22, 2, 200_000, 10
 #: Rarity, twice the logarithm of the count, from which a token is posted with a second one; entries from which a list is long; rows and columns of a block of comparisons.
 HOT, LONG, ROWS, COLUMNS = 24, 1024, 256, 4096
 _U = np.uint64
@@ -309,6 +309,9 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         if len(both):
             both = both[np.lexsort(both.T)]
             both = both[np.concatenate([[True], (np.diff(both, axis=0) != 0).any(axis=1)])]
+        if len(more):
+            more = more[np.lexsort((posts["line"][more], posts["doc"][more]))]
+            more = more[np.concatenate([[True], (np.diff(posts["doc"][more]) != 0) | (np.diff(posts["line"][more].astype(np.int64)) != 0)])]
         cut, last = len(more), int(blob is not None)
         number = lambda x: pa.array(x.astype(np.int32))
         return pa.table(
