@@ -252,16 +252,3 @@ def test_language_model_sums_to_one(spark):
         assert (10**log).sum() == pytest.approx(1.0)
     rows = lm.score(docs(spark, HARD), model).collect()
     assert len(rows) == len(HARD) and all(r["score"] < 0 and r["n_tokens"] >= 1 for r in rows)
-
-
-def test_pipeline_stages(spark):
-    import corpus_pipeline
-
-    texts = [*HARD, *("\n".join(" ".join(random.Random(10 * i + k).choice(WORDS) for _ in range(12)) for k in range(3)) for i in range(15))]
-    rows = docs(spark, texts).select("doc_id", "text", "lang", "source", "n_chars")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        rows = stage(spark, rows, "")
-        assert rows.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-        rows = rows.checkpoint()
-    out = corpus_pipeline.STAGES[-1][1](spark, rows, "").collect()
-    assert out and all(r["round_trip"] and len(r["ids"]) == r["n_tokens"] for r in out)
