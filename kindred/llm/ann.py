@@ -9,8 +9,11 @@ part, and a candidate is abandoned once a hypothesis test says that it can't be
 below the k-th best distance so far. What survives all blocks is measured in
 double precision on the original vectors.
 
-Lists are cut into blocks of bounded size, and a task searches one block, so a
-list that holds a third of all vectors is spread like any other.
+A query looks into a share of the lists, the nearest first, and into more until
+these hold a least number of vectors; a query that still finds fewer than k
+looks into all. Lists are packed into shards of bounded size, and a list that
+holds more than one shard is spread over several, so a list with a third of all
+vectors is searched like any other.
 """
 
 from __future__ import annotations
@@ -22,25 +25,31 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Rows that centroids are fitted on, chosen by a hash of their ids; rows of a block; columns of a step; the test's width.
-SAMPLE, BLOCK, STEP, WIDTH = 20_000, 4096, 16, 3.2
-PROBED = 0.65
+#: Rows that centroids are fitted on, chosen by a hash of their ids, and their bytes, at most; rows of a shard; columns of a step; the test's width.
+SAMPLE, SAMPLE_BYTES, SHARD, STEP, WIDTH = 20_000, 32 << 20, 4096, 16, 3.2
+#: Share of the lists that a query looks into, vectors that they hold at least; lists at most.
+PROBED, LEAST, LISTS = 0.4, 1024, 4096
 K = 5
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, v) without vectors that are null, zero, or have null or non-finite components."""
+    """(vec_id, v) without null ids and vectors that are null, zero, or have null or non-finite components."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return rows.where(F.col("v").isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
+    return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component near 1: no cosine changes, and no square leaves the range."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -89,31 +98,48 @@ def scan(query: np.ndarray, block: np.ndarray, k: int, step: int = STEP, width:
     return alive[part <= edge + 1e-9]
 
 
+def _packed(sizes: np.ndarray) -> list[np.ndarray]:
+    """Each list's shards: small lists share one of about ``SHARD`` rows, a large one has several."""
+    out, shard, room = [], -1, 0
+    for n in sizes:
+        if n > SHARD:
+            many = -(-int(n) // SHARD)
+            out.append(np.arange(shard + 1, shard + 1 + many))
+            shard, room = shard + many, 0
+            continue
+        if n > room:
+            shard, room = shard + 1, SHARD
+        room -= n
+        out.append(np.array([max(shard, 0)]))
+    return out
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, vec_id: str = "vec_id", embedding: str = "embedding", lists: int | None = None, probed: float = PROBED, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest by cosine, ties to the smaller id; a query is no candidate of its own.
 
-    ``probed`` is the share of lists that a query looks into. Rows with equal
-    ids are candidates of their own. Vectors of another length than the most
-    common one are not comparable with it and take no part. Empty tables give
-    no rows.
+    ``probed`` is the share of lists that a query looks into. Rows of equal id
+    and vector count once, as candidates and as queries; rows of equal id with
+    other vectors are candidates and queries of their own, but none of a query
+    of their id. Vectors of another length than the most common one are not
+    comparable with it and take no part, nor do those that are null, zero or
+    have null or non-finite components or a null id. Empty tables give no rows.
     """
+    spark = vectors.sparkSession
     base = usable(vectors, vec_id, embedding)
     sizes = base.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").collect()  # a row for each length
     if not sizes:
-        return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size, total = sizes[0]["d"], sizes[0]["count"]
     base = base.where(F.size("v") == size)
-    asked = usable(queries, vec_id, embedding).where(F.size("v") == size)
+    asked = usable(queries, vec_id, embedding).where(F.size("v") == size).dropDuplicates(["vec_id", "v"])
+    sample = max(64, min(sample, SAMPLE_BYTES // (8 * size)))
     chance = F.pmod(F.xxhash64(F.lit(9), "vec_id"), F.lit(1 << 20)) / float(1 << 20)
-    fitted = base.where(chance < min(1.0, sample / total)).orderBy("vec_id").select("v").toPandas()  # about `sample` rows
+    fitted = base.where(chance < min(1.0, sample / total)).select("v").limit(2 * sample).toArrow()  # about `sample` rows
     if not len(fitted):
-        fitted = base.orderBy("vec_id").limit(64).select("v").toPandas()
-    known = _unit(np.stack(fitted["v"].to_numpy()))
-    lists = lists or int(max(1, min(1024, np.sqrt(total))))
+        fitted = base.limit(64).select("v").toArrow()
+    known = np.unique(_unit(_matrix(fitted["v"].combine_chunks())), axis=0)  # in an order of its own
     turn = rotation(size)
-    centers = centroids(np.unique(known, axis=0), lists)
-    lists = len(centers)
-    probes = max(1, int(np.ceil(lists * probed)))
+    centers = centroids(known, lists or int(max(1, min(LISTS, 4 * np.sqrt(total), len(known) // 4))))
 
     def file(batches):
         for batch in batches:
@@ -121,41 +147,78 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, vec_id: str = "v
                 near = (_unit(_matrix(batch.column(1))) @ centers.T).argmax(axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.int32))], ["vec_id", "v", "list"])
 
-    def ask(batches):
-        for batch in batches:
-            if batch.num_rows:
-                order = np.argsort(-(_unit(_matrix(batch.column(1))) @ centers.T), axis=1, kind="stable")[:, :probes]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))], ["query_id", "q", "probe"])
-
     filed = common.kept(common.arrow(base, file, "vec_id long, v array<double>, list int"), "ann-lists")
-    blocks = {r["list"]: -(-r["count"] // BLOCK) for r in filed.groupBy("list").count().collect()}  # a row for each list
-    spread = F.create_map(*[x for a, b in sorted(blocks.items()) for x in (F.lit(a), F.lit(b))])
-    candidates = filed.select("list", F.pmod(F.hash("vec_id"), spread[F.col("list")]).alias("block"), "vec_id", "v")
-    probing = common.arrow(asked, ask, "query_id long, q array<double>, probe array<int>").select("query_id", "q", F.explode("probe").alias("list"))
-    probing = probing.where(spread[F.col("list")].isNotNull()).select("list", F.explode(F.sequence(F.lit(0), spread[F.col("list")] - 1)).alias("block"), "query_id", "q")
+    held = np.zeros(len(centers), dtype=np.int64)
+    for r in filed.groupBy("list").count().collect():  # a row for each list
+        held[r["list"]] = r["count"]
+    shards = _packed(held)
+    spread = F.create_map(*[x for a, b in enumerate(shards) for x in (F.lit(a), F.array(*[F.lit(int(i)) for i in b]))])
+    mine = spread[F.col("list")]
+    candidates = filed.withColumn("shard", F.get(mine, F.pmod(F.hash("vec_id"), F.size(mine)))).select("shard", "list", "vec_id", "v")
+    least = np.zeros(len(centers), dtype=bool)
+    least[: max(1, int(np.ceil(len(centers) * probed)))] = True
+
+    def ask(everywhere: bool):
+        """A row for each query and shard, with the query's lists in it."""
+
+        def run(batches):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                order = np.argsort(-(_unit(_matrix(batch.column(1))) @ centers.T), axis=1, kind="stable")
+                before = np.cumsum(held[order], axis=1) - held[order]
+                use = (least | (before < LEAST) | everywhere) & (held[order] > 0)
+                row, shard, of = [], [], []
+                for i in range(len(order)):
+                    own = [(s, int(x)) for x in order[i][use[i]] for s in shards[x]]
+                    for s in sorted({s for s, _ in own}):
+                        row.append(i)
+                        shard.append(s)
+                        of.append([x for t, x in own if t == s])
+                taken = batch.take(pa.array(row, pa.int64()))
+                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(shard, pa.int32()), pa.array(of, pa.list_(pa.int32()))], ["query_id", "q", "shard", "lists"])
+
+        return run
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, score, of = [], [], []
+        found_by, ids, score = [], [], []
         if left.num_rows and right.num_rows:
-            own = right["vec_id"].to_numpy()
-            vectors_ = _matrix(right["v"].combine_chunks())
-            turned = _unit(vectors_) @ turn
-            exact = np.sqrt((vectors_ * vectors_).sum(axis=1))
-            asked_, ids_of = _matrix(left["q"].combine_chunks()), left["query_id"].to_numpy()
-            for q, qt, qid in zip(asked_, _unit(asked_) @ turn, ids_of, strict=True):
-                found = scan(qt, turned, k + 1)
-                found = found[own[found] != qid]
-                cosine = (vectors_[found] * q).sum(axis=1) / (exact[found] * np.sqrt((q * q).sum()))
-                top = np.lexsort((own[found], -cosine))[:k]
-                ids.append(own[found][top])
+            vectors_, own, of = _matrix(right["v"].combine_chunks()), right["vec_id"].to_numpy(), right["list"].to_numpy()
+            once = np.unique(np.column_stack([own.astype(np.int64).view(np.float64), vectors_]).view(f"V{8 * (size + 1)}").ravel(), return_index=True)[1]
+            vectors_, own, of = _scaled(vectors_[once]), own[once], of[once]
+            turned, length = _unit(vectors_) @ turn, np.sqrt((vectors_ * vectors_).sum(axis=1))
+            asked_, ids_of = _scaled(_matrix(left["q"].combine_chunks())), left["query_id"].to_numpy()
+            for i, (q, qt, wanted) in enumerate(zip(asked_, _unit(asked_) @ turn, left["lists"].to_pylist(), strict=True)):
+                open_ = np.zeros(len(centers), dtype=bool)
+                open_[wanted] = True
+                rows = np.flatnonzero(open_[of] & (own != ids_of[i]))
+                if not len(rows):
+                    continue
+                rows = rows[scan(qt, turned[rows], k)]
+                cosine = (vectors_[rows] * q).sum(axis=1) / (length[rows] * np.sqrt((q * q).sum()))
+                top = np.lexsort((own[rows], -cosine))[:k]
+                ids.append(own[rows][top])
                 score.append(cosine[top])
-                of.append(np.full(len(top), qid))
+                found_by.append(np.full(len(top), i))
         join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        return pa.table({"query_id": join(of, np.int64), "vec_id": join(ids, np.int64), "score": join(score, np.float64)})
-
-    found = probing.groupBy("list", "block").cogroup(candidates.groupBy("list", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        which = join(found_by, np.int64)
+        return pa.table({"query_id": left["query_id"].take(which), "ask": left["ask"].take(which), "vec_id": join(ids, np.int64), "score": join(score, np.float64)})
+
+    def best(some: DataFrame, everywhere: bool) -> DataFrame:
+        probing = common.arrow(some, ask(everywhere), "query_id long, q array<double>, shard int, lists array<int>").withColumn("ask", F.xxhash64("q"))
+        found = probing.groupBy("shard").cogroup(candidates.groupBy("shard")).applyInArrow(search, "query_id long, ask long, vec_id long, score double")
+        order = Window.partitionBy("query_id", "ask").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    found = common.kept(best(asked, False), "ann-found")
+    if total > LEAST:  # else every list was looked into
+        named = asked.withColumn("ask", F.xxhash64("v"))
+        full = found.where(F.col("rank") == k).selectExpr("query_id AS vec_id", "ask")
+        short = common.kept(named.join(full, ["vec_id", "ask"], "left_anti").select("vec_id", "v"), "ann-short")
+        if short.limit(1).count():
+            again = best(short, True)
+            found = found.join(short.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("ask")), ["query_id", "ask"], "left_anti").unionByName(again)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
