@@ -11,8 +11,13 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Bytes of a batch that goes to a Python step, so that long texts take no more memory than short ones.
+BATCH = 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the workers this package, once for each session: they may run elsewhere, without its folder."""
+    """Gives the workers this package, once for each session: they may run elsewhere, without its folder. Bounds their batches by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     context = spark.sparkContext
     if getattr(context, "_kindred_shipped", False):
         return
