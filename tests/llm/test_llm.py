@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, bpe, components, fingerprint, langid, linededup, lm, minhash, mixing, quality, toxicity, words
+from kindred.llm import ann, bpe, components, langid, linededup, lm, minhash, mixing, quality, toxicity, words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node string"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -154,16 +154,6 @@ def test_mixing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
 
 
-def test_fingerprints(spark):
-    texts = [*HARD, "one two three\nfour five six\n\nseven eight " * 20, "one two three\nfour five six\n\nseven eight " * 20]
-    rows = {r["doc_id"]: r for r in fingerprint.with_successor(docs(spark, texts)).collect()}
-    assert [rows[i]["next_text"] for i in range(len(texts))] == [t or "" for t in texts[1:]] + [""]
-    prints = [r["fingerprint"] for r in fingerprint.fingerprints(docs(spark, texts)).orderBy("doc_id").collect()]
-    for i, a in enumerate(texts):
-        for j, b in enumerate(texts):
-            assert (prints[i] == prints[j]) == ((a or "") == (b or ""))
-
-
 def test_language_id(spark):
     en, de = "the quick brown fox jumps over the lazy dog and runs away", "der schnelle braune fuchs springt über den faulen hund und läuft weg"
     train = spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate([(en, "en"), (de, "de"), (None, "en"), ("x", None)] * 3)], "doc_id long, text string, lang string")
