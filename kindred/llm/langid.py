@@ -9,7 +9,9 @@ prototype those of its documents, each at unit length. A document's language is
 the prototype with the largest cosine.
 
 In a batch, the trigrams' counts are one matrix and the distinct trigrams'
-vectors another, so bundling is a matrix product; no text is cut.
+vectors another, so bundling is a matrix product, summed over a bounded number
+of trigrams at a time; a long text adds up piece by piece, each with the two
+letters before it, so no trigram is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ DIMENSIONS, SEED = 1024, 20
 #: Prototypes are made from about so many documents of a language at most, chosen by a hash of their ids.
 DOCS_PER_LANGUAGE = 6000
 UND = "und"
-_ROWS, _PIECE = 64, 1 << 20
+#: Rows and characters that are bundled together, trigrams of a matrix product, letters whose vectors a worker keeps.
+_ROWS, _PIECE, _GRAMS, _KEPT = 64, 1 << 20, 8192, 4000
 _LETTERS: dict[int, np.ndarray] = {}
 _KIND: list[np.ndarray] = []
 
@@ -34,7 +37,7 @@ def letter(code: int) -> np.ndarray:
     """The vector of a code point, 0 being the separator: made from its own seed, the same everywhere."""
     found = _LETTERS.get(code)
     if found is None:
-        if len(_LETTERS) > 20_000:
+        if len(_LETTERS) >= _KEPT:
             _LETTERS.clear()
         bits = words.mix(np.arange(DIMENSIONS, dtype=np.uint64) + np.uint64((code * 0x9E3779B97F4A7C15 + SEED) & (2**64 - 1))) >> np.uint64(63)
         found = _LETTERS[code] = bits.astype(np.float32) * 2 - 1
@@ -62,11 +65,18 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     stay = np.ones(len(flat), dtype=bool)
     stay[1:] = (flat[1:] != 0) | (flat[:-1] != 0) | (owner[1:] != owner[:-1])
     flat, owner = flat[stay], owner[stay]
-    alphabet, code = np.unique(flat, return_inverse=True) if len(flat) > 1 << 24 else _compact(flat)
+    out = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
+    for at in range(0, len(flat) - 2, _PIECE):
+        _bundle(flat[at : at + _PIECE + 2], owner[at : at + _PIECE + 2], out)
+    return out, has
+
+
+def _bundle(flat: np.ndarray, owner: np.ndarray, out: np.ndarray) -> None:
+    """Adds the vectors of all trigrams to the rows that own them."""
+    alphabet, code = _compact(flat)
     size = len(alphabet)
-    whole = owner[:-2] == owner[2:] if len(flat) > 2 else np.zeros(0, bool)
-    gram = ((code[:-2] * size + code[1:-1]) * size + code[2:])[whole] if len(flat) > 2 else np.zeros(0, np.int64)
-    owner = owner[:-2][whole] if len(flat) > 2 else owner[:0]
+    whole = owner[:-2] == owner[2:]
+    gram, owner = ((code[:-2] * size + code[1:-1]) * size + code[2:])[whole], owner[:-2][whole]
     if size**3 <= 1 << 22:
         grams = np.flatnonzero(np.bincount(gram, minlength=size**3)) if len(gram) else gram
         number = np.zeros(size**3, dtype=np.int64)
@@ -74,14 +84,21 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         gram = number[gram]
     else:
         grams, gram = np.unique(gram, return_inverse=True)
-    counts = np.bincount(owner * max(1, len(grams)) + gram, minlength=len(rows) * max(1, len(grams))).reshape(len(rows), -1).astype(np.float32)
-    if not len(grams):
-        return np.zeros((len(rows), DIMENSIONS), np.float32), has
-    table = np.stack([letter(int(a)) for a in alphabet])
-    bound = np.roll(table, 2, axis=1)[grams // (size * size)]
-    bound *= np.roll(table, 1, axis=1)[grams // size % size]
-    bound *= table[grams % size]
-    return counts @ bound, has
+    many = len(grams) > _GRAMS
+    order = np.argsort(gram, kind="stable") if many else slice(None)
+    gram, owner = gram[order], owner[order]
+    for at in range(0, len(grams), _GRAMS):
+        some = grams[at : at + _GRAMS]
+        use = slice(*np.searchsorted(gram, (at, at + len(some)))) if many else slice(None)
+        counts = np.bincount(owner[use] * len(some) + gram[use] - at, minlength=len(out) * len(some)).reshape(len(out), -1).astype(np.float32)
+        which = np.concatenate([some // (size * size), some // size % size, some % size])
+        own, which = (np.arange(size), which) if size <= 256 else np.unique(which, return_inverse=True)
+        table = np.stack([letter(int(alphabet[k])) for k in own])
+        first, second, third = which.reshape(3, -1)
+        bound = np.roll(table, 2, axis=1)[first]
+        bound *= np.roll(table, 1, axis=1)[second]
+        bound *= table[third]
+        out += counts @ bound
 
 
 def _compact(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,14 +132,15 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
 
     About ``per_language`` documents of each language are used: a hash of the id
     decides, with a share worked out from the language's count. Only the
-    prototypes, a vector for each language, come to the driver.
+    prototypes, a vector for each language, come to the driver. A null id is
+    an id like any; a repeated row counts each time.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r["lang"]: r["count"] for r in rows.groupBy(F.col(lang).alias("lang")).count().collect()}  # a row for each language
     if not counts:
         return {}
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    chance = F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id).cast("string")), F.lit(1 << 20)) / float(1 << 20)
+    chance = F.pmod(F.xxhash64(F.lit(SEED), F.coalesce(F.col(doc_id).cast("string"), F.col(text))), F.lit(1 << 20)) / float(1 << 20)
     rows = rows.where(chance < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def run(batches):
@@ -148,7 +166,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: tuple[str
 
     A text that is null or has no letter, or any text if there are no
     prototypes, gets ``und`` and 0. Equal cosines go to the first language by
-    code point.
+    code point. Repeated rows are judged alike, an empty table gives no rows.
     """
     names = list(prototypes)
     matrix = np.stack([prototypes[n] for n in names]).astype(np.float32) if names else np.zeros((0, DIMENSIONS), np.float32)
