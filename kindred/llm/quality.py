@@ -119,8 +119,8 @@ class Field:
         self.text = np.array([1.0, 0.0])
         self.center, self.scale = np.zeros(size), np.ones(size)
 
-    def marginals(self, row: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """(probability of good, expected moves, sum of the texts' log partition functions) by forward-backward.
+    def marginals(self, row: np.ndarray, x: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+        """(probability of good, expected moves, sum of the texts' log partition functions) by forward-backward; ``weight``, the same for all lines of a text, weighs its moves.
 
         Lines are taken by their number in the text: all first lines, all second ones and so on.
         """
@@ -149,24 +149,24 @@ class Field:
         of[np.concatenate([np.arange(h, h + c) for h, c in zip(head, count, strict=True)])] = np.repeat(total, count)
         good = np.exp(np.clip(forward[:, 1] + back[:, 1] - of, -700, 0))
         inner = np.flatnonzero(np.concatenate([[False], row[1:] == row[:-1]]))
-        expected = np.zeros((2, 2))
+        expected, mass = np.zeros((2, 2)), np.ones(len(inner)) if weight is None else weight[inner]
         for a in range(2):
             for b in range(2):
-                expected[a, b] = np.exp(np.clip(forward[inner - 1, a] + moves[a, b] + energy[inner, b] + back[inner, b] - of[inner], -700, 0)).sum()
+                expected[a, b] = np.exp(np.clip(forward[inner - 1, a] + moves[a, b] + energy[inner, b] + back[inner, b] - of[inner], -700, 0)) @ mass
         return good, expected, float(total.sum())
 
     def fit(self, row: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 120, ridge: float = 1e-3) -> None:
-        """Maximum likelihood of line labels by Adam; ``weight`` weighs a text's lines."""
+        """Maximum likelihood of line labels by Adam, each text's log-likelihood, lines and moves, times its ``weight``."""
         self.center, self.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
         self.center[-1], self.scale[-1] = 0, 1
         z = (x - self.center) / self.scale
         inner = np.flatnonzero(np.concatenate([[False], row[1:] == row[:-1]]))
         seen = np.zeros((2, 2))
-        np.add.at(seen, (y[inner - 1], y[inner]), 1)
+        np.add.at(seen, (y[inner - 1], y[inner]), weight[inner])
         n = len(x)
         state = [np.zeros(x.shape[1] + 4), np.zeros(x.shape[1] + 4)]
         for k in range(1, rounds + 1):
-            good, expected, _ = self.marginals(row, x)
+            good, expected, _ = self.marginals(row, x, weight)
             pull = np.r_[z.T @ ((y - good) * weight) / n - ridge * self.weights, ((seen - expected) / n - ridge * self.moves).ravel()]
             state = [0.9 * state[0] + 0.1 * pull, 0.99 * state[1] + 0.01 * pull * pull]
             step = 0.1 * (state[0] / (1 - 0.9**k)) / (np.sqrt(state[1] / (1 - 0.99**k)) + 1e-8) * min(1.0, 2 * (1 - k / (rounds + 1)))
@@ -208,7 +208,7 @@ def learn(texts: list[str], labels: np.ndarray) -> Field | None:
 
 
 def score(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted of every row; texts that are null, empty or blank score as half good, and 0.5 without a field."""
+    """doc_id, score, predicted of every row, repeated ones alike; texts that are null, empty or blank score as half good, and 0.5 without a field. An empty table gives no rows."""
 
     def run(batches):
         for batch in common.pieces(batches, 1):
