@@ -6,13 +6,21 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: dict[int, int], doc_id: str = "doc_id", text: str = "text", seed: int = 5) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of about ``per_class`` rows of each class, in the order of their ids.
 
-    A hash of the id decides, with a share worked out from the class's count;
-    null labels and ids teach nothing. The sampled ids, no more than the bound
-    says, are broadcast; their texts come to the driver.
+#: Bytes of text that a sample has at most, about.
+MOST_BYTES = 48 << 20
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: dict[int, int], doc_id: str = "doc_id", text: str = "text", seed: int = 5, most_bytes: int = MOST_BYTES) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of about ``per_class`` rows of each class, and of about ``most_bytes`` in all, in the order of their ids.
+
+    A hash of the id decides, with a share worked out from the class's count,
+    and a smaller one where the texts would be too many bytes; null labels, ids
+    and texts teach nothing. An id that has several labels has the largest, one
+    that has several texts the first of them in order. The sampled ids, no more
+    than the bound says, are broadcast; their texts come to the driver.
     """
     rows = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(list(per_class)) & F.col("doc_id").isNotNull() & allowed)
     rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -21,9 +29,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, pe
         return [], np.zeros(0, np.int64)
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_class[k] / n)))])
     chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    ids = rows.where(chance < share[F.col("label")]).collect()  # about per_class rows of each class
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, label int") if ids else rows.limit(0)
-    found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").toArrow()
+    ids = rows.withColumn("place", chance / share[F.col("label")]).where("place < 1").collect()  # about per_class rows of each class
+    if not ids:
+        return [], np.zeros(0, np.int64)
+    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, label int, place double")
+    found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    found = common.kept(found.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")), "labelled-sample")
+    size = found.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        found = found.where(F.col("place") < most_bytes / size)
+    found = found.select("doc_id", "label", "text").orderBy("doc_id").toArrow()
     return found["text"].to_pylist(), found["label"].to_numpy().astype(np.int64)
 
 
