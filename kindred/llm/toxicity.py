@@ -1,18 +1,21 @@
-"""Toxicity with a subsequence string kernel, Nystroem landmarks and a linear SVM.
+"""Toxicity with a subsequence string kernel, Nystroem landmarks and a linear SVM on labelled sentences.
 
 The kernel of two words sums over all common subsequences of three characters,
 each weighted by a decay to the power of the lengths that it spans in both, so
 an insult with inserted characters or gaps stays close to the insult. A word's
 features are its normalised kernels with a few landmark words, whitened by the
-landmarks' own kernel matrix. A linear SVM on them gives every word a margin.
-Letters that stand alone in a row (``i d i o t``) are joined to one word; a word
-longer than a window goes through in overlapping windows.
-
-Training finds its words from labelled texts alone: greedily those that cover
-most of the toxic texts that are left and next to no others; words of clean
-texts are the other class, the hardest ones first. Then words of toxic texts
-that the SVM finds on its own join the first class, and it is trained again. A
-text's score comes from its largest margins by logistic regression.
+landmarks' own kernel matrix. Letters that stand alone in a row (``i d i o t``)
+are joined to one word; a word longer than a window goes through in overlapping
+windows, in training and in scoring.
+
+A sentence is as toxic as its most toxic word: its margin is the largest of its
+words' margins. Labels are the texts': every sentence of a clean text is clean,
+and of a toxic text the sentence with the largest margin is toxic. So training
+goes in rounds: find the word that decides each labelled sentence, fit a linear
+SVM to these, with a sentence of a clean text against one of a toxic text, and
+decide anew. It begins with words that cover most toxic texts and next to no
+others, and with these in disguise, a character put into each gap. A text's
+score comes from its largest word margins by logistic regression.
 
 All texts are scored whole; equal words are scored once per batch.
 """
@@ -29,9 +32,10 @@ from pyspark.sql import functions as F
 from . import common, samples, words
 
 ORDER, DECAY, WINDOW = 3, 0.6, 20
-#: Labelled texts that are learned from, by class; landmarks of each kind; words whose margins a worker keeps.
-PER_CLASS = {1: 2500, 0: 4500}
-INSULTS, CLEAN, KEPT = 40, 24, 1_000_000
+#: Labelled texts that are learned from, by class; words whose margins a worker keeps.
+PER_CLASS, KEPT = {1: 2500, 0: 4500}, 1_000_000
+#: What the fit is bounded by: landmarks among words that tell toxic texts and among frequent words, rounds, sentences of clean texts in a round (the largest margins), of toxic texts (all, one each).
+INSULTS, CLEAN, ROUNDS, CLEAN_SENTENCES = 40, 24, 4, 6000
 THRESHOLD = 0.3
 
 
@@ -111,6 +115,19 @@ def marked(items: list[str]) -> list[str]:
     return [f"^{w}" for w in items]
 
 
+def windows(items: list[str]) -> tuple[list[str], np.ndarray]:
+    """The marked windows that words are taken by, and the word of each; none for words under three characters."""
+    rows, owner = [], []
+    for i, w in enumerate(items):
+        for form in (w,) if w.isalnum() else (w, "".join(c for c in w if c.isalnum())):
+            if len(form) >= ORDER:
+                form = f"^{form}"
+                for at in range(0, max(1, len(form) - WINDOW // 2), WINDOW // 2):
+                    rows.append(form[at : at + WINDOW])
+                    owner.append(i)
+    return rows, np.array(owner, dtype=np.int64)
+
+
 class Model:
     """Landmarks, what whitens their kernels, the SVM's weights and the text's logistic weights.
 
@@ -189,15 +206,7 @@ class Model:
         punctuation inside is taken without it as well.
         """
         out = np.full(len(items), -8.0)
-        rows, owner = [], []
-        for i, w in enumerate(items):
-            for form in (w,) if w.isalnum() else (w, "".join(c for c in w if c.isalnum())):
-                if len(form) >= ORDER:
-                    form = f"^{form}"
-                    for at in range(0, max(1, len(form) - WINDOW // 2), WINDOW // 2):
-                        rows.append(form[at : at + WINDOW])
-                        owner.append(i)
-        owner = np.array(owner, dtype=np.int64)
+        rows, owner = windows(items)
         for at in range(0, len(rows), 32768):
             part = codes(rows[at : at + 32768])
             value = np.empty(len(part))
@@ -287,21 +296,39 @@ def disguised(insults: list[str], rng: np.random.Generator) -> list[str]:
     return [w[:i] + letters[rng.integers(len(letters))] + w[i:] for w in insults if len(w) > ORDER for i in range(1, len(w))]
 
 
+def sentences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, object]:
+    """(hash, text, sentence of each word, function from positions to words): sentences end at ``.``, ``!``, ``?`` and line ends; joined letters belong to none but their text."""
+    hashes, text, word = units(column)
+    data, offsets = words.text_buffer(column)
+    starts, _ = words.spans(data, offsets)
+    ends = np.isin(data, np.frombuffer(b".!?\n", np.uint8))
+    sentence = np.cumsum(ends)[starts] + np.searchsorted(offsets, starts, side="right") if len(starts) else np.zeros(0, np.int64)
+    own = int(sentence.max(initial=0)) + 1 + text[len(starts) :]  # a sentence of its own for what is joined in a text
+    return hashes, text, np.concatenate([sentence, own]), word
+
+
+def deciding(key: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    """The places of the largest margin of every key."""
+    order = np.lexsort((-margin, key))
+    return order[np.concatenate([np.ones(min(1, len(order)), bool), key[order][1:] != key[order][:-1]])]
+
+
 def learn(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
-    """A model from labelled texts; None if either class is missing."""
+    """A model from labelled texts; None if either class is missing. Equal texts count once, the last label holds."""
     if not (labels > 0).any() or not (labels <= 0).any():
         return None
     once = list({t: int(y) for t, y in zip(texts, labels, strict=True)}.items())
     texts, labels = [t for t, _ in once], np.array([y for _, y in once])
-    hashes, text, word = units(pa.array(texts, pa.large_string()))
+    hashes, text, sentence, word = sentences(pa.array(texts, pa.large_string()))
     distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+    names = [word(i) for i in at]
     seen = np.unique(np.stack([which, text]), axis=1)  # a word counts once in a text
     toxic = labels[seen[1]] > 0
     pos, neg = np.bincount(seen[0][toxic], minlength=len(distinct)), np.bincount(seen[0][~toxic], minlength=len(distinct))
     positives, negatives = int((labels > 0).sum()), int((labels <= 0).sum())
     # greedy cover of the toxic texts by words that are rare in others
     able = np.flatnonzero((pos >= 2) & (neg <= 0.002 * negatives * (pos / positives)))
-    able = able[[len(word(at[i])) >= ORDER for i in able]] if len(able) else able
+    able = able[[len(names[i]) >= ORDER for i in able]] if len(able) else able
     index = np.full(len(distinct), -1)
     index[able] = np.arange(len(able))
     mine = (index[seen[0]] >= 0) & toxic
@@ -320,36 +347,43 @@ def learn(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
         insults += [int(i) for i in often if i not in set(insults) and pos[i] >= 0.02 * positives][: INSULTS - len(insults)]
     if not insults:
         return None
-    rng = np.random.default_rng(seed)
-    clean = np.flatnonzero(neg > 0)
-    clean = np.sort(rng.choice(clean, min(len(clean), 20_000), replace=False))
-    clean = clean[[len(word(at[i])) >= ORDER for i in clean]]
-    bad, good = [word(at[i]) for i in insults], [word(at[i]) for i in clean]
-    common_words = [word(at[i]) for i in np.argsort(-neg, kind="stable")[:4000] if len(word(at[i])) >= ORDER and neg[i] > 0]
-    model = Model(marked(list(dict.fromkeys(bad + common_words[:CLEAN]))))
-    x_good = model.features(codes(marked(common_words + good)))
-    masked = disguised(bad, rng)
+    bad = [names[i] for i in insults]
+    frequent = [names[i] for i in np.argsort(-neg, kind="stable") if neg[i] > 0 and len(names[i]) >= ORDER][:CLEAN]
+    model = Model(marked(list(dict.fromkeys(bad + frequent))))
+    masked = disguised(bad, np.random.default_rng(seed))
     x_bad = model.features(codes(marked(bad + masked)))
     each = np.r_[np.ones(len(bad)), np.full(len(masked), 0.25 * len(bad) / max(1, len(masked)))]
-    for round_ in range(2):
-        hard = np.argsort(-(x_good @ model.weights[:-1]))[:3000] if round_ else np.arange(min(5000, len(x_good)))
-        chosen = np.unique(np.concatenate([hard, np.arange(min(2000, len(x_good)))]))
-        model.weigh(svm(np.concatenate([x_bad, x_good[chosen]]), np.r_[np.ones(len(x_bad)), np.zeros(len(chosen))], np.r_[each, np.ones(len(chosen))]))
-        if not round_:  # words of toxic texts that look like insults and never stand in clean ones
-            more = np.flatnonzero((neg == 0) & (pos >= 2))
-            more = more[np.argsort(-pos[more], kind="stable")][:6000]
-            names = [w for w in (word(at[i]) for i in more) if len(w) >= ORDER]
-            if names:
-                x_more = model.features(codes(marked(names)))
-                x_more = x_more[x_more @ model.weights[:-1] + model.weights[-1] > 0.3]
-                x_bad, each = np.concatenate([x_bad, x_more]), np.r_[each, np.ones(len(x_more))]
-    margin = model.margins([word(i) for i in at])
+    margin = -neg.astype(np.float64)  # at first a clean sentence is decided by its rarest word, a toxic one by a word of the cover
+    margin[insults] = 1 + pos[insults]
+    clean = labels[text] <= 0
+    for round_ in range(ROUNDS):
+        good = np.flatnonzero(clean)
+        good = good[deciding(sentence[good], margin[which[good]])]
+        good, n_good = np.unique(which[good], return_counts=True)
+        top = np.argsort(-margin[good], kind="stable")[:CLEAN_SENTENCES]
+        good, n_good = good[top], n_good[top]
+        sure = np.flatnonzero(~clean)
+        sure = sure[deciding(text[sure], margin[which[sure]])]  # the sentence, and in it the word, with the largest margin of each toxic text
+        sure = sure[(margin[which[sure]] > 0) & (neg[which[sure]] <= 0.01 * negatives)] if round_ else sure[:0]
+        hit, n_hit = np.unique(which[sure], return_counts=True)
+        rows, owner = windows([names[i] for i in np.concatenate([good, hit])])
+        x = model.features(codes(rows))
+        y = owner >= len(good)
+        if y.any():  # of a long word's windows the one with the largest margin decides
+            decided = x @ model.weights[:-1]
+            keep = deciding(owner, decided)
+            keep = np.concatenate([np.flatnonzero(~y), keep[y[keep]]])
+            x, owner, y = x[keep], owner[keep], y[keep]
+        many = np.sqrt(np.concatenate([n_good, n_hit])[owner])
+        weight = np.r_[each * max(1.0, many[y].sum() / max(1e-9, each.sum()) if y.any() else 1.0), many]
+        model.weigh(svm(np.concatenate([x_bad, x]), np.r_[np.ones(len(x_bad)), y], weight))
+        margin = model.margins(names)
     model.text = samples.logistic(summary(text, margin[which], len(texts)), (labels > 0).astype(float), ridge=1.0)
     return model
 
 
 def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score, predicted of every row; texts that are null, empty or without words score what no margin scores, 0 without a model."""
+    """doc_id, score, predicted of every row, repeated ones alike; texts that are null, empty or without words score what no margin scores, 0 without a model. An empty table gives no rows."""
 
     def run(batches):
         known, value = np.zeros(0, np.uint64), np.zeros(0)
