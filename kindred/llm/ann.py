@@ -206,7 +206,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, vec_id: str = "v
 
     def best(some: DataFrame, everywhere: bool) -> DataFrame:
         probing = common.arrow(some, ask(everywhere), "query_id long, q array<double>, shard int, lists array<int>").withColumn("ask", F.xxhash64("q"))
-        found = probing.groupBy("shard").cogroup(candidates.groupBy("shard")).applyInArrow(search, "query_id long, ask long, vec_id long, score double")
+        found = probing.groupBy("shard").cogroup(candidates.groupBy("shard")).applyInArrow(common.of_group(search), "query_id long, ask long, vec_id long, score double")
         order = Window.partitionBy("query_id", "ask").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Pairs of tokens that a worker keeps, beyond which their table starts anew; bytes of words, each with OVERHEAD more, in either of its two generations. States are no more than trie places.
-MAX_PAIRS, MAX_BYTES, OVERHEAD = 400_000, 32 << 20, 200
+MAX_PAIRS, MAX_BYTES, OVERHEAD = 300_000, 24 << 20, 200
 #: Bytes of text that are split at once; bytes of a match from which it is streamed, and after which a stream looks for what is certain.
 PIECE, WINDOW, EVERY = 1 << 20, 256, 64
 
@@ -359,6 +359,7 @@ class Tokenizer:
 
 
 _BUILT: dict = {}
+common.CACHES[__name__] = _BUILT
 
 
 def tokenizer(ranks, pattern: str) -> Tokenizer:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -58,10 +61,54 @@ def list_pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = PIE
             at = to
 
 
+#: What modules keep in a worker between tasks, by module.
+CACHES: dict[str, dict | list] = {}
+_OWNER: list[str] = []
+
+
+def claim(owner: str) -> None:
+    """Drops what other modules keep in this worker: workers go from one operator to the next."""
+    if _OWNER != [owner]:
+        _OWNER[:] = [owner]
+        for name, kept_ in CACHES.items():
+            if name != owner:
+                kept_.clear()
+        trim()
+
+
+def trim() -> None:
+    """Gives memory that is free back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """mapInArrow, on workers that have this package."""
+    """mapInArrow, on workers that have this package and keep nothing of other operators."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    owner = run.__module__
+
+    def tidy(batches):
+        claim(owner)
+        yield from run(batches)
+        trim()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def of_group(run):
+    """A function of one or two tables, as ``arrow`` runs those of batches."""
+    owner = run.__module__
+
+    def tidy(*tables):
+        claim(owner)
+        out = run(*tables)
+        trim()
+        return out
+
+    # Spark counts a function's arguments by their names
+    return (lambda left, right: tidy(left, right)) if run.__code__.co_argcount == 2 else lambda table: tidy(table)
 
 
 CHUNKS, PARTS = 64, 32
@@ -84,8 +131,8 @@ def combined(parts: DataFrame, kind: np.dtype, size: int, add=np.add) -> np.ndar
 
     ship(parts.sparkSession)
     some = parts.select("chunk", F.pmod(F.xxhash64("blob"), F.lit(PARTS)).cast("int").alias("part"), "blob")
-    some = some.groupBy("chunk", "part").applyInArrow(merge, "chunk int, part int, blob binary")
-    some = some.withColumn("part", F.lit(0)).groupBy("chunk", "part").applyInArrow(merge, "chunk int, part int, blob binary")
+    some = some.groupBy("chunk", "part").applyInArrow(of_group(merge), "chunk int, part int, blob binary")
+    some = some.withColumn("part", F.lit(0)).groupBy("chunk", "part").applyInArrow(of_group(merge), "chunk int, part int, blob binary")
     out = np.zeros((CHUNKS, size // CHUNKS), dtype=kind)
     for r in some.collect():  # a row for each chunk
         out[r["chunk"]] = np.frombuffer(pa.decompress(r["blob"], bytes_, codec="zstd"), dtype=kind)

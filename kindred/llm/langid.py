@@ -28,8 +28,9 @@ DIMENSIONS, SEED = 1024, 20
 DOCS_PER_LANGUAGE = 6000
 UND = "und"
 #: Rows and characters that are bundled together, trigrams of a matrix product, letters whose vectors a worker keeps.
-_ROWS, _PIECE, _GRAMS, _KEPT = 64, 1 << 20, 8192, 4000
+_ROWS, _PIECE, _GRAMS, _KEPT = 64, 1 << 19, 8192, 4000
 _LETTERS: dict[int, np.ndarray] = {}
+common.CACHES[__name__] = _LETTERS
 _KIND: list[np.ndarray] = []
 
 

@@ -334,7 +334,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
 
     kinds = "doc long, line int, doc2 long, line2 int, n int, posts binary"
     blobs = common.arrow(docs, posted, "bucket int, n int, posts binary")
-    paired_rows = common.kept(blobs.groupBy("bucket").applyInArrow(paired, kinds), "line-pairs")
+    paired_rows = common.kept(blobs.groupBy("bucket").applyInArrow(common.of_group(paired), kinds), "line-pairs")
 
     def token_sets(pairs: DataFrame) -> DataFrame:
         """(doc, line, tokens) of the lines of pairs, and of a few others that share their marks."""

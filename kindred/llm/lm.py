@@ -174,6 +174,7 @@ def _part(folder: str, written: str, key: str) -> bytes:
 
 
 _MAPPED: dict = {}
+common.CACHES[__name__] = _MAPPED
 
 
 def _mapped(folder: str, written: str) -> dict[str, np.ndarray]:
@@ -507,7 +508,7 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: i
 
     counted = common.arrow(rows, count, "shard int, blob binary")
     shape = "shard int, triples string, pairs string, sent string, census array<long>"
-    merged = common.kept(counted.groupBy("shard").applyInArrow(merge, shape), "lm-shards").collect()  # a row for each shard
+    merged = common.kept(counted.groupBy("shard").applyInArrow(common.of_group(merge), shape), "lm-shards").collect()  # a row for each shard
     files = {r["shard"]: r for r in merged}
 
     def add_up(batches):

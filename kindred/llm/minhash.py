@@ -257,7 +257,7 @@ def _across(sets: DataFrame, open_: DataFrame, percent: int) -> DataFrame:
         found = crossing(*np.concatenate(parts, axis=1), percent)
         return pa.table({"a": pa.array(found[:, 0].copy()), "b": pa.array(found[:, 1].copy())})
 
-    return common.arrow(rows, post, "bucket int, n int, posts binary").groupBy("bucket").applyInArrow(pair, "a long, b long").distinct()
+    return common.arrow(rows, post, "bucket int, n int, posts binary").groupBy("bucket").applyInArrow(common.of_group(pair), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
