@@ -51,7 +51,7 @@ _U = np.uint64
 #: Hashes of what stands before the first word and after the last, and of what stands before the begin.
 BEGIN, END, NOTHING = _U(0x0123456789ABCDEF), _U(0xFEDCBA9876543210), _U(0)
 #: Tokens that a task counts before it sends its counts on; words of context and the word itself; ranges of the word hash; shards at least, and tokens of a shard, about.
-COUNTED, ORDER, CELLS, SHARDS, SHARD_TOKENS = 2_000_000, 3, 1 << 16, 64, 2_000_000
+COUNTED, ORDER, CELLS, SHARDS, SHARD_TOKENS = 4_000_000, 3, 1 << 16, 64, 2_000_000
 
 
 def sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,9 +77,20 @@ def earlier(before: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, a place of each, and each row's number among them."""
+    order = np.argsort(keys)
+    fresh = np.zeros(len(order), dtype=bool)
+    at = _runs(keys[order])
+    fresh[at] = True
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return keys[order[at]], order[at], number
+
+
 def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys in order, and the sums of each one's values."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     at = _runs(keys)
     return keys[at], *(np.add.reduceat(v[order], at) if len(at) else v[:0] for v in values)
@@ -232,11 +243,14 @@ def look(arrays: dict[str, np.ndarray], name: str, asked: np.ndarray) -> np.ndar
 
 def _rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows of numbers, the most frequent first, and each row's place among them."""
-    known, at, n = np.unique(np.stack(columns, axis=1), axis=0, return_inverse=True, return_counts=True)
-    order = np.argsort(-n, kind="stable")
+    key = np.zeros(len(columns[0]), dtype=np.uint64)
+    for c in columns:
+        key = words.mix(key * _U(0x9E3779B97F4A7C15) + c.astype(np.uint64) + _U(1))
+    _, first, number = _distinct(key)
+    order = np.argsort(-np.bincount(number, minlength=len(first)), kind="stable")
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.arange(len(order))
-    return known[order], place[at.ravel()]
+    return np.stack([c[first[order]] for c in columns], axis=1), place[number]
 
 
 def _followers(c: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -288,7 +302,7 @@ class Model:
 
     def _by_file(self, files: list[str], shard: np.ndarray):
         """(arrays, which rows) of every file that is asked."""
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(shard.astype(np.uint16) if len(files) < 1 << 16 else shard, kind="stable")
         cut = np.searchsorted(shard[order], np.arange(len(files) + 1))
         for s, name in enumerate(files):
             if cut[s] < cut[s + 1] and name:
@@ -326,7 +340,7 @@ class Model:
 
     def score(self, before: np.ndarray, token: np.ndarray, earlier: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(log10 probability, count of the token in training) for every token; ``earlier`` is what stands before its context."""
-        known, at = np.unique(np.concatenate([token, before]), return_inverse=True)
+        known, _, at = _distinct(np.concatenate([token, before]))
         of, (w, v) = self.words_of(known), (at[: len(token)], at[len(token) :])
         d, floor = self.d1, 1.0 / (self.distinct + 1)
         if self.pair_kinds:
@@ -334,16 +348,16 @@ class Model:
         else:
             base = np.full(len(known), floor)
         # equal pairs and triples are looked up once
-        pair, first, which = np.unique(_pair_key(before, token), return_index=True, return_inverse=True)
+        pair, first, which = _distinct(_pair_key(before, token))
         c = self._counts(self.pairs, "pair", pair, self.plan.shard(before[first], token[first]))
         probability = self._refined(c, of[v[first], 2:], self.d2, base[w[first]])[which]
         if self.order > 2 and earlier is not None:
             some = np.flatnonzero(earlier != NOTHING)
             context = _pair_key(before[some], earlier[some])
-            contexts, first, which = np.unique(context, return_index=True, return_inverse=True)
+            contexts, first, which = _distinct(context)
             followers = self._followers_of(contexts, self.plan.shard(before[some[first]], earlier[some[first]]))[which]
             ask = some[followers[:, 0] > 0]  # a context that was never seen leaves all to the shorter one
-            triple, first, which = np.unique(_pair_key(context[followers[:, 0] > 0], token[ask]), return_index=True, return_inverse=True)
+            triple, first, which = _distinct(_pair_key(context[followers[:, 0] > 0], token[ask]))
             c = self._counts(self.triples, "triple", triple, self.plan.shard(before[ask[first]], earlier[ask[first]]))[which]
             probability[ask] = self._refined(c, followers[followers[:, 0] > 0], self.d3, probability[ask])
         return np.log10(probability), of[w, 0]
@@ -421,18 +435,33 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: i
         held, size = [], 0
 
         def flush():
-            v, u, w = (np.concatenate(x) for x in zip(*held, strict=True))
-            known, ids = np.unique(np.concatenate([v, u, w]), return_inverse=True)
-            v, u, w = ids.astype(np.uint32).reshape(3, -1)
-            del ids
-            key = _together(v, u, w)
-            by = np.argsort(key)
-            at = _runs(key[by])
-            c = np.diff(np.append(at, len(by)))
-            v, u, w = (x[by[at]] for x in (v, u, w))
-            del key, by, at
+            before, token = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            begins = before == BEGIN
+            known, _, ids = _distinct(np.concatenate([np.array([BEGIN, NOTHING], np.uint64), token]))
+            begin, nothing, w = ids[0], ids[1], ids[2:]
+            del before, token, ids
+            v = np.concatenate([w[:1], w[:-1]])
+            v[begins] = begin
+            u = np.full(len(w), nothing)
+            if order > 2:
+                u[1:] = v[:-1]
+                u[begins] = nothing
+            del begins
+            bits = max(1, (len(known) - 1).bit_length())
+            if 3 * bits <= 64:
+                key = (v.astype(np.uint64) << _U(2 * bits)) | (u.astype(np.uint64) << _U(bits)) | w.astype(np.uint64)
+                del v, u, w
+                key.sort()
+                at = _runs(key)
+                c, key = np.diff(np.append(at, len(key))), key[at]
+                v, u, w = ((key >> _U(k * bits)).astype(np.int64) & ((1 << bits) - 1) for k in (2, 1, 0))
+            else:
+                by = np.lexsort((w, u, v))
+                at = _runs(v[by], u[by], w[by])
+                c, (v, u, w) = np.diff(np.append(at, len(by))), (x[by[at]] for x in (v, u, w))
             shard = plan.shard(known[v], known[u if order > 2 else w])
-            by = np.argsort(shard, kind="stable")
+            by = np.argsort(shard.astype(np.uint16) if plan.shards < 1 << 16 else shard, kind="stable")
             cut = np.searchsorted(shard[by], np.arange(plan.shards + 1))
             for s in range(plan.shards):
                 mine = by[cut[s] : cut[s + 1]]
@@ -444,11 +473,11 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: i
 
         for batch in common.pieces(batches, 0):
             before, token, _ = sequences(batch.column(0))
-            held.append((before, earlier(before) if order > 2 else np.zeros_like(before), token))
+            held.append((before, token))
             size += len(token)
             if size >= COUNTED:
                 yield from _batches(flush())
-                held, size = [], 0
+                size = 0
         if size:
             yield from _batches(flush())
 
@@ -460,7 +489,8 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: i
         here = table["shard"][0].as_py()
         parts = [_apart(b.as_py()) for b in table["blob"]]
         dictionaries = [_unsorted_blob(p[0]) for p in parts]
-        known = np.unique(np.concatenate(dictionaries))
+        known = np.sort(np.concatenate(dictionaries))
+        known = known[_runs(known)]
         columns = []
         for p, own in zip(parts, dictionaries, strict=True):
             to = np.searchsorted(known, own).astype(np.uint32)
@@ -517,7 +547,7 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: i
             for here, first, sent in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = [[_unblob(x) for x in _apart(_part(folder, s, f"p{here - first}"))] for s in sent]
                 v, w, c = (np.concatenate(x).astype(np.uint64) for x in zip(*parts, strict=True))
-                known, ids = np.unique(np.concatenate([v, w]), return_inverse=True)
+                known, _, ids = _distinct(np.concatenate([v, w]))
                 v, w = ids.astype(np.uint32).reshape(2, -1)
                 pair, c = _sums(_together(v, w), c.astype(np.int64))
                 v, w = _pairs_of(pair, v, w, known)
