@@ -16,14 +16,18 @@ from pyspark.sql.types import StringType
 # Words that do not tell names apart (stop words in English, French and romanised Hindi,
 # legal forms, generic business words, name parts of web addresses).
 STOP_WORDS = (
-    "the a an of in at on to for by with and or is it its this that no not are was were been be being have has had do does did will would could should "
-    "may might shall can de la le les du des et en un une au aux sur par pour dans avec ke ka ki se ko me hai aur ya inc incorporated corp corporation co "
-    "company ltd limited llc llp lp plc pvt private gmbh ag sarl sas sa eurl sci snc srl pty bv nv ab oy as kg ohg group groups holdings holding "
-    "enterprises enterprise industries industry industrial associates associate partners partner partnership international intl global worldwide services "
-    "service solutions solution technologies technology tech trading traders trader trade systems system consultants consultant consulting consultancy "
-    "management ventures venture products product productions production communications communication logistics networks network marketing advertising "
-    "media agencies agency corporate professionals professional foundation institute institution organization organisation com net org io biz info"
-).split()
+    "the", "a", "an", "of", "in", "at", "on", "to", "for", "by", "with", "and", "or", "is", "it", "its", "this", "that", "no", "not", "are", "was",
+    "were", "been", "be", "being", "have", "has", "had", "do", "does", "did", "will", "would", "could", "should", "may", "might", "shall", "can",
+    "de", "la", "le", "les", "du", "des", "et", "en", "un", "une", "au", "aux", "sur", "par", "pour", "dans", "avec", "ke", "ka", "ki", "se", "ko",
+    "me", "hai", "aur", "ya", "inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "llp", "lp", "plc", "pvt",
+    "private", "gmbh", "ag", "sarl", "sas", "sa", "eurl", "sci", "snc", "srl", "pty", "bv", "nv", "ab", "oy", "as", "kg", "ohg", "group", "groups",
+    "holdings", "holding", "enterprises", "enterprise", "industries", "industry", "industrial", "associates", "associate", "partners", "partner",
+    "partnership", "international", "intl", "global", "worldwide", "services", "service", "solutions", "solution", "technologies", "technology",
+    "tech", "trading", "traders", "trader", "trade", "systems", "system", "consultants", "consultant", "consulting", "consultancy", "management",
+    "ventures", "venture", "products", "product", "productions", "production", "communications", "communication", "logistics", "networks", "network",
+    "marketing", "advertising", "media", "agencies", "agency", "corporate", "professionals", "professional", "foundation", "institute", "institution",
+    "organization", "organisation", "com", "net", "org", "io", "biz", "info",
+)
 
 
 @F.pandas_udf(StringType())

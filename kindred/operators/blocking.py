@@ -2,8 +2,9 @@
 
 Every strategy gives hits (s1_id, eid, strategy, bit, score), one for each
 posting that a query's key meets, so what finds a target twice scores twice.
-Postings are never held as an index: they are the build sides of joins, gated
-by how many entries their key has on the target side.
+Postings are never held as an index: they are the build sides of joins, each
+with the number of entries that its key has on the target side (``sized``), by
+which they are gated. Strategies that use one index share its plan.
 """
 
 from __future__ import annotations
@@ -43,16 +44,24 @@ def posting_sizes(postings: DataFrame) -> DataFrame:
     return postings.groupBy("key", "country").agg(F.count("*").alias("n"))
 
 
+def sized(postings: DataFrame) -> DataFrame:
+    """Postings with ``n``, how many entries their list has."""
+    return postings.join(posting_sizes(postings), ["key", "country"])
+
+
 def gated(postings: DataFrame, most: int) -> DataFrame:
     """Postings whose list has at most ``most`` entries, whole or not at all."""
-    small = posting_sizes(postings).where(F.col("n") <= most).select("key", "country")
-    return postings.join(small, ["key", "country"], "left_semi")
+    return (postings if "n" in postings.columns else sized(postings)).where(F.col("n") <= most).select("key", "country", "eid")
 
 
 def dropped(postings: DataFrame, most: int) -> DataFrame:
     """Targets whose list is too long."""
-    large = posting_sizes(postings).where(F.col("n") > most).select("key", "country")
-    return postings.join(large, ["key", "country"], "left_semi").select("eid").distinct()
+    return sized(postings).where(F.col("n") > most).select("eid").distinct()
+
+
+def indexes(targets: DataFrame) -> dict[str, DataFrame]:
+    """The five indexes over targets, each planned once."""
+    return {index: sized(keys(targets, index)) for index in ("name", "core", "token", "addr", "addrnum")}
 
 
 def _hits(pairs: DataFrame, strategy: str) -> DataFrame:
@@ -63,33 +72,46 @@ def _asked(rep: DataFrame, index: str) -> DataFrame:
     return keys(rep, index).withColumnRenamed("eid", "s1_id")
 
 
-def strategy(name: str, queries: DataFrame, targets: DataFrame, most: int = MAX_PER_STRATEGY, most_tokens: int = MAX_POSTING, most_address: int = MAX_ADDRESS) -> DataFrame:
-    """Hits of one strategy, S1 to S7, of represented queries among represented targets."""
+def strategy(name: str, queries: DataFrame, targets: DataFrame, most: int = MAX_PER_STRATEGY, most_tokens: int = MAX_POSTING, most_address: int = MAX_ADDRESS, index: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Hits of one strategy, S1 to S7, of represented queries among represented targets; ``index``: those of the targets."""
+    index = index or indexes(targets)
     if name in ("S1", "S2", "S4"):
-        index = {"S1": "name", "S2": "core", "S4": "addr"}[name]
-        return _hits(_asked(queries, index).join(gated(keys(targets, index), most), ["key", "country"]), name)
+        own = {"S1": "name", "S2": "core", "S4": "addr"}[name]
+        return _hits(_asked(queries, own).join(gated(index[own], most), ["key", "country"]), name)
     if name == "S3":
-        return _hits(token_overlap(queries, targets, most, most_tokens), name)
+        return _hits(token_overlap(queries, index["token"], most, most_tokens), name)
     if name == "S5":
         asked = queries.where("norm_name <> ''").select(F.col("eid").alias("s1_id"), F.array("norm_name").alias("key"), F.col("country").alias("home"))
-        return _hits(asked.join(gated(keys(targets, "name"), most), "key").where("country <> home"), name)
+        return _hits(asked.join(gated(index["name"], most), "key").where("country <> home"), name)
     if name == "S6":
         asked = queries.where("size(toks) >= 2").select(F.col("eid").alias("s1_id"), F.array("squash").alias("key"))
-        return _hits(asked.join(gated(keys(targets, "token"), min(most, most_tokens)), "key"), name)
+        return _hits(asked.join(gated(index["token"], min(most, most_tokens)), "key"), name)
     asked = _asked(queries.where("size(addr_nums) >= 2"), "addrnum")
-    return _hits(asked.join(gated(keys(targets, "addrnum"), min(most, most_address)), ["key", "country"]), name)
+    return _hits(asked.join(gated(index["addrnum"], min(most, most_address)), ["key", "country"]), name)
 
 
-def token_overlap(queries: DataFrame, targets: DataFrame, most: int = MAX_PER_STRATEGY, most_tokens: int = MAX_POSTING) -> DataFrame:
-    """(s1_id, eid): targets of the same country that share enough tokens.
+def token_overlap(queries: DataFrame, postings: DataFrame, most: int = MAX_PER_STRATEGY, most_tokens: int = MAX_POSTING) -> DataFrame:
+    """(s1_id, eid): targets of the same country that share enough tokens; ``postings`` is the sized token index.
 
     One token is enough for names of one token, else two; repeats count in
     that, not in what is shared. With more than ``most`` targets one more token
     is asked for, if the name has it, and beyond that nothing is found.
+
+    A target that shares two of a name's tokens shares one besides the most
+    frequent. So lists are joined for the others alone, the longest of a name
+    is never expanded, and whether a candidate has its token too is looked up
+    by token and target.
     """
-    asked = _asked(queries, "token").join(queries.select(F.col("eid").alias("s1_id"), F.size("toks").alias("n_toks")), "s1_id")
-    shared = asked.join(gated(keys(targets, "token"), most_tokens), ["key", "country"]).groupBy("s1_id", "n_toks", "eid").agg(F.count("*").alias("shared"))
+    listed = postings.where(F.col("n") <= most_tokens)
+    lists = listed.select("key", "country", "n").distinct()
+    asked = _asked(queries, "token").join(queries.select(F.col("eid").alias("s1_id"), F.size("toks").alias("n_toks")), "s1_id").join(lists, ["key", "country"])
     least = F.when(F.col("n_toks") == 1, 1).otherwise(MIN_OVERLAP)
+    by_length = Window.partitionBy("s1_id").orderBy(F.desc("n"), "key")  # a name's tokens
+    asked = asked.withColumn("longest", (F.row_number().over(by_length) == 1) & (least > 1))
+    shared = asked.where(~F.col("longest")).join(listed.select("key", "country", "eid"), ["key", "country"]).groupBy("s1_id", "country", "n_toks", "eid").agg(F.count("*").alias("shared"))
+    last = asked.where("longest").select("s1_id", F.col("key").alias("last"))
+    had = listed.select(F.col("key").alias("last"), "country", "eid", F.lit(1).alias("more"))
+    shared = shared.join(last, "s1_id", "left").join(had, ["last", "country", "eid"], "left").withColumn("shared", F.col("shared") + F.coalesce("more", F.lit(0)))
     over = Window.partitionBy("s1_id")
     counted = shared.where(F.col("shared") >= least).withColumns({"found": F.count("*").over(over), "closer": F.count_if(F.col("shared") > least).over(over)})
     first = F.col("found") <= most
@@ -98,7 +120,8 @@ def token_overlap(queries: DataFrame, targets: DataFrame, most: int = MAX_PER_ST
 
 
 def hits(queries: DataFrame, targets: DataFrame, **gates: int) -> DataFrame:
-    return reduce(DataFrame.unionByName, [strategy(s, queries, targets, **gates) for s in ("S1", "S2", "S3", "S4", "S5", "S6", "S7")])
+    index = indexes(targets)
+    return reduce(DataFrame.unionByName, [strategy(s, queries, targets, index=index, **gates) for s in ("S1", "S2", "S3", "S4", "S5", "S6", "S7")])
 
 
 def ranked(found: DataFrame) -> DataFrame:

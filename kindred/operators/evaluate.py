@@ -34,17 +34,27 @@ def diagnosis(lost: DataFrame, queries: DataFrame, targets: DataFrame) -> DataFr
 def sizes(ids: DataFrame, pairs: DataFrame, total_ids: int = 1_732_544) -> DataFrame:
     """Mean, positional median and 95th percentile, maximum and sum of candidates per id, and the size in MB of a full list."""
     per = ids.select("s1_id").join(pairs.groupBy("s1_id").agg(F.count("*").alias("n")), "s1_id", "left").fillna(0, ["n"])
+    out = _size_stats(per)
+    return out.withColumn("file_mb", F.lit(total_ids) * (14 + F.col("mean") * 14) / (1024 * 1024))
+
+
+def _size_stats(per: DataFrame) -> DataFrame:
+    """One row about counts (n): ids, mean, max, total, positional median and 95th percentile."""
     # counts are few different numbers: their histogram, added up, stands for the sorted list
     steps = per.groupBy("n").agg(F.count("*").alias("times")).withColumn("upto", F.sum("times").over(Window.orderBy("n")))
     total = per.agg(F.count("*").alias("ids"), F.avg("n").alias("mean"), F.max("n").alias("max"), F.sum("n").alias("total"))
     at = lambda place: F.min(F.when(F.col("upto") > place, F.col("n")))
-    out = steps.crossJoin(F.broadcast(total)).groupBy("ids", "mean", "max", "total").agg(at(F.floor(F.col("ids") / 2)).alias("median"), at(F.floor(F.col("ids") * 0.95)).alias("p95"))  # one row against a histogram
-    return out.withColumn("file_mb", F.lit(total_ids) * (14 + F.col("mean") * 14) / (1024 * 1024))
+    return steps.crossJoin(F.broadcast(total)).groupBy("ids", "mean", "max", "total").agg(at(F.floor(F.col("ids") / 2)).alias("median"), at(F.floor(F.col("ids") * 0.95)).alias("p95"))  # one row against a histogram
+
+
+def posting_stats(sizes_: DataFrame) -> DataFrame:
+    """Keys, entries, positional median and 95th percentile and the longest list of an index, from its lists' sizes."""
+    return _size_stats(sizes_.select("n"))
 
 
-def posting_stats(sized: DataFrame) -> DataFrame:
-    """Keys, entries, positional median and 95th percentile and the longest list of an index."""
-    return sizes(sized.select(F.struct("key", "country").alias("s1_id")), sized.select(F.struct("key", "country").alias("s1_id"), F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("eid")))
+def examples(lost: DataFrame, queries: DataFrame, targets: DataFrame, most: int = 10) -> DataFrame:
+    """The first missed pairs by their ids, with names and shared tokens."""
+    return diagnosis(lost.orderBy("s1_id", "eid").limit(most), queries, targets)
 
 
 def match_histogram(lists: DataFrame) -> DataFrame:

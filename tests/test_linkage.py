@@ -69,8 +69,8 @@ def test_edit_ratio(spark):
     from kindred.session import ship
 
     ship(spark)
-    got = [r[0] for r in pairs.select(S.edit_ratio_exact(F.col("a"), F.col("b"))).collect()]
-    assert got == pytest.approx([0.2, 0.0, 1 - 3 / 7, 0.0, 1.0])
+    got = {(r["a"], r["b"]): r["e"] for r in S.with_exact_edits(pairs, "a", "b", "e").collect()}
+    assert got == pytest.approx({("abcde", "cdexy"): 0.2, ("abcde", "vwxyz"): 0.0, ("kitten", "sitting"): 1 - 3 / 7, ("", "a"): 0.0, ("a", "a"): 1.0})
     assert pairs.select(S.edit_ratio(F.col("a"), F.col("b"))).first()[0] == 0.0
 
 
