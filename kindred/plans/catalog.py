@@ -11,10 +11,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.functions import similarity
 from kindred.functions import text as X
 from kindred.operators import blocking as B
 from kindred.operators import evaluate as E
-from kindred.operators import features, matcher, score
+from kindred.operators import features, matcher, profile, score
 from kindred.operators.representation import represent
 from kindred.session import shared_dir
 from kindred.sources import tsv
@@ -27,10 +28,20 @@ CAP, LOW_CAP = B.MAX_TOTAL, 100
 STRATEGIES = ("S1", "S2", "S3", "S4", "S5", "S6", "S7")
 
 
+_KEPT: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
 def _reps(spark: SparkSession, sf_dir: str, view: str) -> tuple[DataFrame, DataFrame]:
-    """Represented queries and targets; kept, as every strategy reads them and the UDFs should run once."""
-    queries, targets = V.sides(V.entities(spark, sf_dir, view))
-    return represent(queries).persist(), represent(targets).persist()
+    """Represented queries and targets; those of the last view asked for are kept, as every strategy reads them and the UDFs should run once."""
+    key = (spark.sparkContext.applicationId, sf_dir, view)
+    if key not in _KEPT:
+        for old in [df for k, pair in _KEPT.items() if k[0] == key[0] for df in pair]:
+            old.unpersist()
+        _KEPT.clear()
+        queries, targets = V.sides(V.entities(spark, sf_dir, view))
+        _KEPT[key] = represent(queries), represent(targets)
+    queries, targets = _KEPT[key]
+    return queries.persist(), targets.persist()
 
 
 def _pairs(spark: SparkSession, sf_dir: str, view: str = "part") -> DataFrame:
@@ -180,6 +191,13 @@ def _scored(spark, sf_dir):
     return score.per_entity(E.gathered(ids, true), E.gathered(ids, chosen))
 
 
+def edit_ratio_exact(spark, sf_dir):
+    queries, targets = _reps(spark, sf_dir, "part")
+    pairs = B.capped(B.ranked(B.hits(queries, targets)), CAP).select("s1_id", "eid")
+    names = pairs.join(queries.select(F.col("eid").alias("s1_id"), F.col("norm_name").alias("a")), "s1_id").join(targets.select("eid", F.col("norm_name").alias("b")), "eid")
+    return similarity.with_exact_edits(names, "a", "b", "e").select("s1_id", "eid", F.round("e", 6).alias("levenshtein_ratio"))
+
+
 def labelled_pairs(spark, sf_dir):
     return score.labelled(_featured(spark, sf_dir).select("s1_id", "eid"), V.truth(spark, sf_dir))
 
@@ -276,22 +294,121 @@ def linked_incrementally(spark, sf_dir):
     queries, targets = V.sides(V.entities(spark, sf_dir))
     folder = _folder(spark)
     tsv.write_entities(queries.repartition(2), f"{folder}/in")
-    incremental.run(spark, f"{folder}/in", represent(targets), f"{folder}/out", f"{folder}/checkpoint", most=CAP, threshold=0.6)
+    incremental.run(spark, f"{folder}/in", represent(targets), f"{folder}/out", f"{folder}/checkpoint", most=CAP, threshold=0.6, exact_edits=False)
     return incremental.done(spark, f"{folder}/out").select("id", _join("members").alias("members"), _join("candidates").alias("candidates"))
 
 
+def _pilot(spark, sf_dir):
+    return V.sides(V.entities(spark, sf_dir))[0].where(X.bucket(F.col("entity_id")) < 20).select(F.col("entity_id").alias("eid"))
+
+
+def records_of_ids(spark, sf_dir):
+    path = _folder(spark)
+    tsv.write_entities(V.entities(spark, sf_dir), path)
+    return tsv.records_of(spark, path, _pilot(spark, sf_dir))
+
+
+def truth_of_ids(spark, sf_dir):
+    path = _folder(spark)
+    tsv.write_id_lists(_truth_lists(spark, sf_dir), path)
+    return tsv.id_sets_of(spark, path, _pilot(spark, sf_dir).withColumnRenamed("eid", "id")).select("id", _join("members").alias("members"))
+
+
+def needed_ids(spark, sf_dir):
+    """All candidates of a candidate file, each once."""
+    path = _folder(spark)
+    queries, targets = _reps(spark, sf_dir, "part")
+    pairs = B.capped(B.ranked(B.hits(queries, targets)), CAP)
+    tsv.write_id_lists(E.gathered(queries.select(F.col("eid").alias("s1_id")), pairs), path, "candidate_entity_ids")
+    return tsv.candidates(spark, path)[1]
+
+
+def last_records(spark, sf_dir):
+    """Targets, of which those with an address of even length come again under another name."""
+    rows = V.sides(V.entities(spark, sf_dir))[1]
+    again = rows.where("length(business_address) % 2 = 0").withColumn("business_name", F.concat("business_name", F.lit(" again")))
+    return tsv.last_records(rows.withColumn("at", F.lit(1)).unionByName(again.withColumn("at", F.lit(2))), "at")
+
+
+def split_files(spark, sf_dir):
+    path = _folder(spark)
+    tsv.write_split(_truth_lists(spark, sf_dir), path, F.when(X.bucket(F.col("id")) < 20, "validation").otherwise("train"))
+    out = None
+    for split in ("train", "validation"):
+        one = tsv.id_sets(spark, f"{path}/split={split}").select(F.lit(split).alias("split"), "id", _join("members").alias("members"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def fallback_file(spark, sf_dir):
+    """The fallback's matches written in input order, and read in the order of the files."""
+    path = _folder(spark)
+    rows = consistent_fallback(spark, sf_dir).withColumns({"none": F.lit(""), "gone": F.lit("")})
+    tsv.write_in_order(rows, path, "s1_id", {"s1_id": "source1_entity_id", "members": "matched_entity_ids", "none": "business_address", "gone": "country"})
+    return tsv.in_file_order(spark, path).select("place", F.col("entity_id").alias("id"), F.col("business_name").alias("members"))
+
+
+def first_records(spark, sf_dir, most=1000):
+    """The first queries in the order of their file."""
+    path = _folder(spark)
+    tsv.write_in_order(V.sides(V.entities(spark, sf_dir))[0], path, "entity_id", {c: c for c in tsv.ENTITY.names})
+    return tsv.in_file_order(spark, path, most).select("entity_id")
+
+
+def missed_examples(spark, sf_dir):
+    queries, targets = _reps(spark, sf_dir, "part")
+    return E.examples(E.missed(V.truth(spark, sf_dir), B.ranked(B.strategy("S1", queries, targets))), queries, targets)
+
+
+def smoke_then_full(spark, sf_dir, most=100):
+    """Checks of a run over the first ids, and of one over all, with the same targets."""
+    all_queries, targets = _reps(spark, sf_dir, "part")
+    out = None
+    for stage, queries in (("smoke", all_queries.orderBy("eid").limit(most)), ("full", all_queries)):
+        ids = queries.select(F.col("eid").alias("s1_id"))
+        pairs = B.capped(B.ranked(B.hits(queries, targets)), CAP)
+        chosen = matcher.linear(features.pair_features(pairs.select("s1_id", "eid"), queries, targets, exact_edits=False)).where("p >= 0.6")
+        one = E.checks(ids, E.gathered(ids, chosen), E.gathered(ids, pairs)).withColumn("stage", F.lit(stage))
+        out = one if out is None else out.unionByName(one)
+    return out.select("stage", "rows", "n_empty", "n_multiple", "n_outside", "expected")
+
+
+def resumed_run(spark, sf_dir):
+    """Files that come in two runs, of which the second takes up where the first ended."""
+    queries, targets = V.sides(V.entities(spark, sf_dir))
+    folder, half = _folder(spark), X.bucket(F.col("entity_id")) < 50
+    for part in (queries.where(half), queries.where(~half)):
+        tsv.write_entities(part.coalesce(1), f"{folder}/in", mode="append")
+        incremental.run(spark, f"{folder}/in", represent(targets), f"{folder}/out", f"{folder}/checkpoint", most=CAP, threshold=0.6, exact_edits=False)
+    return incremental.done(spark, f"{folder}/out").select("id", _join("members").alias("members"))
+
+
+def stage_profile(spark, sf_dir):
+    """Seconds and shares of the stages of linking."""
+    queries, targets = V.sides(V.entities(spark, sf_dir))
+    steps = [
+        ("representation", lambda t: represent(V.entities(spark, sf_dir))),
+        ("candidates", lambda t: B.capped(B.ranked(B.hits(*(t["representation"].where(c) for c in ("eid LIKE 'S1-%'", "NOT eid LIKE 'S1-%'")))), CAP).select("s1_id", "eid")),
+        ("features", lambda t: features.pair_features(t["candidates"], t["representation"], t["representation"], exact_edits=False)),
+        ("prediction", lambda t: matcher.linear(t["features"])),
+        ("lists", lambda t: E.gathered(queries.select(F.col("entity_id").alias("s1_id")), t["prediction"].where("p >= 0.6"))),
+    ]
+    return profile.stages(spark, steps, queries.count(), 1_732_544)
+
+
 NAMED = (
     representations, split_buckets, tsv_round_trip, id_list_round_trip, store_lookup, posting_sizes, posting_stats, pruned_postings, pruned_targets, known_countries,
     candidates_ranked, candidates_ranked_documents, candidates_capped, strategy_counts, config_sweep, strategy_audit, recall, candidate_sizes, missed_pairs, missed_diagnosis,
     pair_features, pair_features_exact, labelled_pairs, entity_scores, score_breakdown, threshold_sweep, best_threshold, match_histogram, match_stats, split_summary,
     country_counts, missing_fields, pilot_sample, set_tests, remaining_ids, consistent_fallback, result_checks, matched_trees, linked_incrementally,
+    edit_ratio_exact, records_of_ids, truth_of_ids, needed_ids, last_records, split_files, fallback_file, first_records, missed_examples, smoke_then_full, resumed_run, stage_profile,
 )
 
 
 def queries() -> dict:
     out = {f.__name__: f for f in NAMED}
     for s in STRATEGIES:
-        for view in ("part", "documents"):
+        for view in ("part", "documents")[: 1 + (s != "S6")]:  # no document's name is one token
             out[f"strategy_{s.lower()}_{view}"] = _strategy(s, view)
     return out
 

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from kindred.functions.text import STOP_WORDS
-
 from .entities import TRUTH as TRUE
 from .entities import VIEWS
 
-STOP = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
+# Fixed values, written out here apart from those of the plans: the words that do not tell names apart.
+STOP = """[
+'the', 'a', 'an', 'of', 'in', 'at', 'on', 'to', 'for', 'by', 'with', 'and', 'or', 'is', 'it', 'its', 'this', 'that', 'no', 'not', 'are', 'was', 'were', 'been',
+'be', 'being', 'have', 'has', 'had', 'do', 'does', 'did', 'will', 'would', 'could', 'should', 'may', 'might', 'shall', 'can', 'de', 'la', 'le', 'les', 'du',
+'des', 'et', 'en', 'un', 'une', 'au', 'aux', 'sur', 'par', 'pour', 'dans', 'avec', 'ke', 'ka', 'ki', 'se', 'ko', 'me', 'hai', 'aur', 'ya', 'inc',
+'incorporated', 'corp', 'corporation', 'co', 'company', 'ltd', 'limited', 'llc', 'llp', 'lp', 'plc', 'pvt', 'private', 'gmbh', 'ag', 'sarl', 'sas', 'sa',
+'eurl', 'sci', 'snc', 'srl', 'pty', 'bv', 'nv', 'ab', 'oy', 'as', 'kg', 'ohg', 'group', 'groups', 'holdings', 'holding', 'enterprises', 'enterprise',
+'industries', 'industry', 'industrial', 'associates', 'associate', 'partners', 'partner', 'partnership', 'international', 'intl', 'global', 'worldwide',
+'services', 'service', 'solutions', 'solution', 'technologies', 'technology', 'tech', 'trading', 'traders', 'trader', 'trade', 'systems', 'system',
+'consultants', 'consultant', 'consulting', 'consultancy', 'management', 'ventures', 'venture', 'products', 'product', 'productions', 'production',
+'communications', 'communication', 'logistics', 'networks', 'network', 'marketing', 'advertising', 'media', 'agencies', 'agency', 'corporate', 'professionals',
+'professional', 'foundation', 'institute', 'institution', 'organization', 'organisation', 'com', 'net', 'org', 'io', 'biz', 'info'
+]"""
 SCORES = {"S1": 64, "S2": 32, "S4": 16, "S7": 12, "S6": 8, "S3": 4, "S5": 2}
 BITS = {"S1": 64, "S2": 32, "S4": 16, "S6": 8, "S3": 4, "S5": 2, "S7": 1}
 
@@ -32,20 +42,31 @@ rep AS (SELECT *, array_to_string(list_sort(list_distinct(toks)), ' ') AS core_n
 q AS (SELECT * FROM rep WHERE eid LIKE 'S1-%'), t AS (SELECT * FROM rep WHERE NOT eid LIKE 'S1-%')"""
 
 
-#: Each strategy as a predicate on a pair, its hits counted; no list of the driver's tables reaches a gate but those of addresses.
-HITS = {
-    "S1": "SELECT q.eid s1_id, t.eid, len(list_intersect(list_distinct([q.norm_name, q.norm_name_af]), list_distinct([t.norm_name, t.norm_name_af]))) h FROM q JOIN t ON q.country = t.country AND q.norm_name <> '' AND t.norm_name <> '' AND (q.norm_name = t.norm_name OR q.norm_name_af = t.norm_name_af OR q.norm_name = t.norm_name_af OR q.norm_name_af = t.norm_name)",
-    "S2": "SELECT q.eid s1_id, t.eid, len(list_intersect(list_distinct([q.core_name, q.core_name_af]), list_distinct([t.core_name, t.core_name_af]))) h FROM q JOIN t ON q.country = t.country AND q.core_name <> '' AND t.core_name <> '' AND (q.core_name = t.core_name OR q.core_name_af = t.core_name_af OR q.core_name = t.core_name_af OR q.core_name_af = t.core_name)",
-    "S3": "SELECT s1_id, eid, 1 h FROM (SELECT a.eid s1_id, b.eid, count(*) n, any_value(a.k) k FROM (SELECT eid, country, len(toks) k, unnest(list_distinct(toks)) tok FROM q) a JOIN (SELECT eid, country, unnest(list_distinct(toks)) tok FROM t) b ON a.tok = b.tok AND a.country = b.country GROUP BY 1, 2) WHERE n >= CASE WHEN k = 1 THEN 1 ELSE 2 END",
-    "S4": "SELECT q.eid s1_id, t.eid, 1 h FROM q JOIN t ON q.country = t.country AND q.addr_nums = t.addr_nums AND len(q.addr_nums) > 0 AND q.toks[1] = t.toks[1]",
-    "S5": "SELECT q.eid s1_id, t.eid, 1 h FROM q JOIN (SELECT eid, country, unnest(list_distinct([norm_name, norm_name_af])) k FROM t WHERE norm_name <> '') t ON q.norm_name = t.k AND q.country <> t.country",
-    "S6": "SELECT q.eid s1_id, t.eid, 1 h FROM q JOIN (SELECT eid, unnest(list_distinct(toks)) tok FROM t) t ON len(q.toks) >= 2 AND q.squash = t.tok",
-    "S7": "SELECT q.eid s1_id, t.eid, 1 h FROM q JOIN t ON q.country = t.country AND q.addr_nums = t.addr_nums AND len(q.addr_nums) >= 2 AND (q.addr_nums, q.country) IN (SELECT (addr_nums, country) FROM t GROUP BY addr_nums, country HAVING count(*) <= 200)",
-}
+def strategies(most: int = 10_000, most_tokens: int = 50_000, most_address: int = 200) -> dict[str, str]:
+    """Each strategy as a predicate on a pair, its hits counted; lists are gated by how many targets have their key."""
+    variants = lambda side, c: f"SELECT eid, country, unnest(list_distinct([{c}, {c}_af])) AS key FROM {side} WHERE {c} <> ''"
+    few = lambda keys, n: f"SELECT key, country FROM ({keys}) GROUP BY ALL HAVING count(*) <= {n}"
+    tokens = lambda side: f"SELECT eid, country, len(toks) AS k, unnest(list_distinct(toks)) AS key FROM {side}"
+    addresses = lambda side, more: f"SELECT eid, country, {more} AS key, len(addr_nums) AS k FROM {side} WHERE len(addr_nums) > 0"
+    first = "list_append(addr_nums, toks[1])"
+    equal = lambda c: f"SELECT a.eid AS s1_id, b.eid, count(*) AS h FROM ({variants('q', c)}) a JOIN ({variants('t', c)}) b USING (key, country) WHERE (key, country) IN ({few(variants('t', c), most)}) GROUP BY 1, 2"
+    with_token = lambda side: f"({addresses(side, first)} AND len(toks) > 0)"
+    return {
+        "S1": equal("norm_name"),
+        "S2": equal("core_name"),
+        "S3": f"SELECT s1_id, eid, 1 AS h FROM (SELECT *, count(*) OVER (PARTITION BY s1_id) AS found, count(*) FILTER (n > least) OVER (PARTITION BY s1_id) AS closer FROM (SELECT a.eid AS s1_id, b.eid, count(*) AS n, any_value(a.k) AS k, CASE WHEN any_value(a.k) = 1 THEN 1 ELSE 2 END AS least FROM ({tokens('q')}) a JOIN ({tokens('t')}) b USING (key, country) WHERE (key, country) IN ({few(tokens('t'), most_tokens)}) GROUP BY 1, 2) WHERE n >= least) WHERE found <= {most} OR (least < k AND n > least AND closer <= {most})",
+        "S4": f"SELECT a.eid AS s1_id, b.eid, 1 AS h FROM {with_token('q')} a JOIN {with_token('t')} b USING (key, country) WHERE (key, country) IN ({few(with_token('t')[1:-1], most)})",
+        "S5": f"SELECT q.eid AS s1_id, b.eid, 1 AS h FROM q JOIN ({variants('t', 'norm_name')}) b ON q.norm_name = b.key AND q.country <> b.country WHERE q.norm_name <> '' AND (b.key, b.country) IN ({few(variants('t', 'norm_name'), most)})",
+        "S6": f"SELECT q.eid AS s1_id, b.eid, 1 AS h FROM q JOIN ({tokens('t')}) b ON len(q.toks) >= 2 AND q.squash = b.key WHERE (b.key, b.country) IN ({few(tokens('t'), min(most, most_tokens))})",
+        "S7": f"SELECT a.eid AS s1_id, b.eid, 1 AS h FROM ({addresses('q', 'addr_nums')}) a JOIN ({addresses('t', 'addr_nums')}) b USING (key, country) WHERE a.k >= 2 AND (key, country) IN ({few(addresses('t', 'addr_nums'), min(most, most_address))})",
+    }
+
+
+HITS = strategies()
 
 
-def hits(view: str = "part") -> str:
-    every = " UNION ALL ".join(f"SELECT s1_id, eid, h, '{s}' strategy, {BITS[s]} b, {SCORES[s]} s FROM ({q})" for s, q in HITS.items())
+def hits(view: str = "part", **gates: int) -> str:
+    every = " UNION ALL ".join(f"SELECT s1_id, eid, h, '{s}' strategy, {BITS[s]} b, {SCORES[s]} s FROM ({q})" for s, q in strategies(**gates).items())
     return f"{rep(view)}, hits AS ({every}), pairs AS (SELECT s1_id, eid, CAST(bit_or(b) AS INTEGER) AS mask, CAST(sum(h * s) AS BIGINT) AS rank FROM hits GROUP BY ALL)"
 
 
@@ -90,6 +111,13 @@ def bucket(x: str) -> str:
     return out
 
 
+#: The distance table of a and b, row by row; worst: the largest of the rows' least entries.
+EDIT_TABLE = """list_reduce(list_transform(string_split(a, ''), lambda c: {'row': [0], 'worst': 0, 'c': c}),
+ lambda s, x: list_transform([list_reduce(list_prepend([s.row[1] + 1], list_transform(range(1, length(b) + 1), lambda j: [least(s.row[j + 1] + 1, s.row[j] + CASE WHEN substr(b, j, 1) = x.c THEN 0 ELSE 1 END)])),
+   lambda r, v: list_append(r, least(v[1], r[-1] + 1)))], lambda r: {'row': r, 'worst': greatest(s.worst, list_min(r)), 'c': x.c})[1],
+ {'row': range(0, length(b) + 1), 'worst': 0, 'c': ''})"""
+
+
 def scored(n: int) -> str:
     return f"""{feats(n)}, {TRUTH}, {IDS}, sc AS (SELECT id, n_true, n_predicted, n_right, {F05} AS f05 FROM (
  SELECT i.s1_id AS id, CAST((SELECT count(*) FROM tr WHERE tr.s1_id = i.s1_id) AS INTEGER) n_true, CAST((SELECT count(*) FROM p WHERE p.s1_id = i.s1_id AND p >= 0.6) AS INTEGER) n_predicted,
@@ -126,8 +154,8 @@ def sql(n: int) -> dict[str, str]:
         "store_lookup": f"{base} SELECT ent.* FROM ent WHERE entity_id IN (SELECT eid FROM tr)",
         "posting_sizes": f"WITH {part} " + " UNION ALL ".join(f"SELECT '{k}' AS posting, key, country, count(*) AS n FROM ({v}) GROUP BY ALL" for k, v in keys.items()),
         "posting_stats": f"WITH {part}, s AS (SELECT count(*) AS n FROM ({keys['token']}) GROUP BY key, country), o AS (SELECT n, row_number() OVER (ORDER BY n) AS rn, count(*) OVER () AS ids FROM s) SELECT any_value(ids) AS ids, CAST(sum(n) AS BIGINT) AS total, {stats}, max(n) AS max FROM o",
-        "pruned_postings": f"WITH {part}, {addr} SELECT key, country, n FROM a WHERE n <= 3 GROUP BY ALL",
-        "pruned_targets": f"WITH {part}, {addr} SELECT DISTINCT eid FROM a WHERE n > 3",
+        "pruned_postings": f"WITH {part}, {addr} SELECT key, country, n FROM a WHERE n <= 200 GROUP BY ALL",
+        "pruned_targets": f"WITH {part}, {addr} SELECT DISTINCT eid FROM a WHERE n > 200",
         "known_countries": f"WITH {part} SELECT DISTINCT country FROM t",
         "candidates_ranked": f"WITH {hits()} SELECT * FROM pairs",
         "candidates_ranked_documents": f"WITH {hits('documents')} SELECT * FROM pairs",
@@ -150,14 +178,30 @@ def sql(n: int) -> dict[str, str]:
         "split_summary": f"{base} SELECT CASE WHEN {bucket('id')} < 20 THEN 'validation' ELSE 'train' END AS split, count(*) AS ids, CAST(sum(coalesce(len(members), 0)) AS BIGINT) AS links, count(*) FILTER (coalesce(len(members), 0) = 0) AS singletons FROM lists GROUP BY 1",
         "country_counts": f"WITH {docs} SELECT CASE WHEN trim(coalesce(country, '')) = '' THEN '(empty)' ELSE trim(country) END AS country, count(*) AS n FROM ent GROUP BY 1",
         "missing_fields": f"WITH {docs}, m AS (SELECT trim(coalesce(business_name, '')) = '' AS a, NOT length(business_address) > 12 AS b FROM ent) SELECT count(*) AS n, count(*) FILTER (a) AS no_name, count(*) FILTER (b) AS no_address, 100 * avg(CAST(a AS INTEGER)) AS no_name_percent, 100 * avg(CAST(b AS INTEGER)) AS no_address_percent FROM m",
-        "pilot_sample": f"WITH {part} SELECT entity_id FROM ent WHERE entity_id LIKE 'S1-%' AND {bucket('entity_id')} < 20 ORDER BY 1 LIMIT 50",
+        "pilot_sample": f"WITH {part} SELECT entity_id FROM ent WHERE entity_id LIKE 'S1-%' AND {bucket('entity_id')} < 20 ORDER BY 1 LIMIT 10000",
         "set_tests": f"WITH {part}, i AS (SELECT entity_id, {bucket('entity_id')} < 20 AS v FROM ent WHERE entity_id LIKE 'S1-%'), a AS (SELECT entity_id FROM i WHERE NOT v), b AS (SELECT entity_id FROM i WHERE v) SELECT (SELECT count(*) FROM (FROM a INTERSECT FROM b)) AS common, (SELECT count(*) FROM (SELECT entity_id FROM i EXCEPT (FROM a UNION FROM b))) AS neither",
         "remaining_ids": f"{base} SELECT id AS s1_id FROM lists WHERE coalesce(len(members), 0) = 0",
         "consistent_fallback": f"{base}, g AS (SELECT min(id) AS gap FROM lists WHERE id >= 'S1-0000000600') SELECT id AS s1_id, CASE WHEN gap IS NULL OR id < gap THEN array_to_string(coalesce(members, []), ',') ELSE '' END AS members, CASE WHEN gap IS NULL OR id < gap THEN array_to_string(coalesce(members, []), ',') ELSE '' END AS candidates FROM lists CROSS JOIN g",
         "result_checks": f"WITH {scored(n)} SELECT count(*) AS rows, count(*) FILTER (n_predicted = 0) AS n_empty, count(*) FILTER (n_predicted > 1) AS n_multiple, CAST(0 AS BIGINT) AS n_outside, count(*) AS expected FROM sc",
         "linked_incrementally": f"WITH {feats(n)}, {IDS} SELECT s1_id AS id, coalesce((SELECT string_agg(eid, ',' ORDER BY eid) FROM p WHERE p.s1_id = i.s1_id AND p >= 0.6), '') AS members, coalesce((SELECT string_agg(eid, ',' ORDER BY eid) FROM cap WHERE cap.s1_id = i.s1_id), '') AS candidates FROM ids i",
     }
+    smoke = "sm AS (SELECT s1_id FROM ids ORDER BY s1_id LIMIT 100)"
+    checked = lambda stage, rows: f"SELECT '{stage}' AS stage, count(*) AS rows, count(*) FILTER (n_predicted = 0) AS n_empty, count(*) FILTER (n_predicted > 1) AS n_multiple, CAST(0 AS BIGINT) AS n_outside, count(*) AS expected FROM sc{rows}"
+    pilot = f"SELECT entity_id FROM ent WHERE entity_id LIKE 'S1-%' AND {bucket('entity_id')} < 20"
+    out |= {
+        "records_of_ids": f"WITH {part} SELECT entity_id, business_name, business_address, country FROM ent WHERE entity_id IN ({pilot})",
+        "truth_of_ids": f"{base} SELECT id, array_to_string(coalesce(members, []), ',') AS members FROM lists WHERE {bucket('id')} < 20",
+        "needed_ids": f"WITH {capped(n)} SELECT DISTINCT eid FROM cap",
+        "last_records": f"WITH {part} SELECT entity_id, CASE WHEN length(business_address) % 2 = 0 THEN concat(business_name, ' again') ELSE business_name END AS business_name, business_address, country FROM ent WHERE NOT entity_id LIKE 'S1-%'",
+        "split_files": f"{base} SELECT CASE WHEN {bucket('id')} < 20 THEN 'validation' ELSE 'train' END AS split, id, array_to_string(coalesce(members, []), ',') AS members FROM lists",
+        "fallback_file": f"{base}, g AS (SELECT min(id) AS gap FROM lists WHERE id >= 'S1-0000000600') SELECT row_number() OVER (ORDER BY id) AS place, id, CASE WHEN gap IS NULL OR id < gap THEN array_to_string(coalesce(members, []), ',') ELSE '' END AS members FROM lists CROSS JOIN g",
+        "first_records": f"WITH {part} SELECT entity_id FROM ent WHERE entity_id LIKE 'S1-%' ORDER BY 1 LIMIT 1000",
+        "missed_examples": f"WITH {part}, {TRUTH}, s AS ({HITS['S1']}), m AS (SELECT s1_id, eid FROM tr ANTI JOIN s USING (s1_id, eid) ORDER BY 1, 2 LIMIT 10) SELECT m.s1_id, m.eid, q.norm_name AS s1_name, t.norm_name AS name, array_to_string(list_sort(list_intersect(list_distinct(q.toks), list_distinct(t.toks))), ',') AS shared FROM m JOIN q ON q.eid = m.s1_id JOIN t ON t.eid = m.eid",
+        "smoke_then_full": f"WITH {scored(n)}, {smoke} {checked('smoke', ' WHERE id IN (SELECT s1_id FROM sm)')} UNION ALL {checked('full', '')}",
+        "resumed_run": f"WITH {feats(n)}, {IDS} SELECT s1_id AS id, coalesce((SELECT string_agg(eid, ',' ORDER BY eid) FROM p WHERE p.s1_id = i.s1_id AND p >= 0.6), '') AS members FROM ids i",
+        "edit_ratio_exact": f"WITH {capped(n)}, n AS (SELECT c.s1_id, c.eid, q.norm_name AS a, t.norm_name AS b, greatest(length(q.norm_name), length(t.norm_name)) AS mx FROM cap c JOIN q ON q.eid = c.s1_id JOIN t ON t.eid = c.eid), d AS (SELECT *, {EDIT_TABLE} AS e FROM n) SELECT s1_id, eid, round(CASE WHEN a = '' OR b = '' THEN 0.0 WHEN a = b THEN 1.0 WHEN 2 * abs(length(a) - length(b)) > mx OR 2 * e.worst > mx THEN 0.0 ELSE 1 - e.row[-1] / mx END, 6) AS levenshtein_ratio FROM d",
+    }
     for s, q in HITS.items():
-        for view in ("part", "documents"):
+        for view in ("part", "documents")[: 1 + (s != "S6")]:
             out[f"strategy_{s.lower()}_{view}"] = f"WITH {rep(view)} SELECT s1_id, eid, CAST(sum(h) AS BIGINT) AS hits, CAST(sum(h) * {SCORES[s]} AS BIGINT) AS score FROM ({q}) GROUP BY 1, 2"
     return out

@@ -12,17 +12,17 @@ from kindred.operators.representation import represent
 from kindred.sources.tsv import DIALECT, ENTITY, filled
 
 
-def link(entities: DataFrame, targets: DataFrame, score: Callable[[DataFrame], DataFrame] = matcher.linear, threshold: float = 0.5, most: int = blocking.MAX_TOTAL) -> tuple[DataFrame, DataFrame]:
-    """(matches, candidates) as (id, members) of a batch of query entities among represented targets."""
+def link(entities: DataFrame, targets: DataFrame, score: Callable[[DataFrame], DataFrame] = matcher.linear, threshold: float = 0.5, most: int = blocking.MAX_TOTAL, exact_edits: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(matches, candidates) as (id, members) of a batch of query entities among represented targets; a score that leaves the edit ratio out needs no exact one."""
     queries = represent(entities)
     ids = queries.select(F.col("eid").alias("s1_id"))
     pairs = blocking.capped(blocking.ranked(blocking.hits(queries, targets)), most).select("s1_id", "eid")
-    chosen = score(features.pair_features(pairs, queries, targets)).where(F.col("p") >= threshold)
+    chosen = score(features.pair_features(pairs, queries, targets, exact_edits)).where(F.col("p") >= threshold)
     return evaluate.gathered(ids, chosen), evaluate.gathered(ids, pairs)
 
 
-def run(spark: SparkSession, source: str, targets: DataFrame, out: str, checkpoint: str, files_per_batch: int = 1, **options) -> None:
-    """Links all files of a folder that haven't been linked yet, a few at a time.
+def run(spark: SparkSession, source: str, targets: DataFrame, out: str, checkpoint: str, files_per_batch: int = 1, **options) -> list[dict]:
+    """Links all files of a folder that haven't been linked yet, a few at a time, and tells of each batch its rows, seconds and rows a second.
 
     A batch writes its own folder and overwrites it if it runs again, so an
     interrupted run leaves no repeats; the checkpoint remembers the files.
@@ -34,7 +34,21 @@ def run(spark: SparkSession, source: str, targets: DataFrame, out: str, checkpoi
         both = matches.join(candidates.select("id", F.col("members").alias("candidates")), "id")
         both.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    query = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [progress(p) for p in query.recentProgress if p["numInputRows"]]
+
+
+def progress(told: dict) -> dict:
+    """A batch's number, rows, seconds and rows a second, from what the stream reports."""
+    seconds = told["durationMs"].get("triggerExecution", 0) / 1000
+    return {"batch": told["batchId"], "rows": told["numInputRows"], "seconds": seconds, "rate": told["numInputRows"] / seconds if seconds else 0.0}
+
+
+def seconds_left(batches: list[dict], rows: int) -> float:
+    """What ``rows`` more rows take at the rate so far; infinite before there is one."""
+    done_, took = sum(b["rows"] for b in batches), sum(b["seconds"] for b in batches)
+    return rows * took / done_ if done_ else float("inf")
 
 
 def done(spark: SparkSession, out: str) -> DataFrame:
