@@ -104,7 +104,8 @@ def of_group(run):
     def tidy(*tables):
         claim(owner)
         out = run(*tables)
-        trim()
+        if sum(t.nbytes for t in tables) > PIECE:
+            trim()
         return out
 
     # Spark counts a function's arguments by their names
