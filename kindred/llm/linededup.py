@@ -156,14 +156,19 @@ def candidates(posts: dict[str, np.ndarray], t: float, first: int | None) -> tup
     """Of postings: indexes of (later, earlier) that pass all filters, and of the later ones that may have more than ``first``."""
     cell = (words.mix(posts["token"]) >> _U(42)).astype(np.int64)
     some = np.flatnonzero(np.bincount(cell, minlength=1 << 22)[cell] > 1)  # a token posted once pairs nothing
-    some = some[np.lexsort((posts["line"][some], posts["doc"][some]))]  # from the earliest on
+    some = some[_in_time(posts["doc"][some], posts["line"][some])]  # from the earliest on
     m, at = posts["m"][some].astype(np.int64), posts["at"][some].astype(np.int64)
-    group = np.unique(posts["token"][some], return_inverse=True)[1]
+    by = np.argsort(posts["token"][some])
+    group = np.empty(len(some), dtype=np.int64)
+    edge = np.zeros(len(some), dtype=np.int64)
+    edge[_edges(posts["token"][some][by])] = 1
+    group[by] = np.cumsum(edge)
     # an entry stays if its list has another one of a size that its position leaves possible
-    sizes = np.sort(group << 32 | m)
-    most = np.floor((m - at) * (1 + t) / t - m + 1e-6).astype(np.int64)
-    low, high = np.searchsorted(sizes, group << 32 | np.ceil(t * m - 1e-9).astype(np.int64), "left"), np.searchsorted(sizes, group << 32 | np.clip(most, 0, 2**32 - 1), "right")
-    stay = np.flatnonzero(high - low > (most >= m))
+    by = np.argsort(group << 32 | m)  # asked in order, which is faster
+    g, n, left = group[by] << 32, m[by], (m - at)[by]
+    most = np.floor(left * (1 + t) / t - n + 1e-6).astype(np.int64)
+    low, high = np.searchsorted(g | n, g | np.ceil(t * n - 1e-9).astype(np.int64), "left"), np.searchsorted(g | n, g | np.clip(most, 0, 2**32 - 1), "right")
+    stay = np.sort(by[high - low > (most >= n)])
     some, group, m = some[stay], group[stay], m[stay]
     # classes of sizes: two sets that may be similar are of one class or of two beside each other, so each is a guest in the next class
     size = np.minimum(254, np.log(m) / np.log(1.0001 / min(t, 0.999))).astype(np.int64)
@@ -231,6 +236,13 @@ def candidates(posts: dict[str, np.ndarray], t: float, first: int | None) -> tup
     return join([y for y, _ in out]), join([x for _, x in out]), join(more)
 
 
+def _in_time(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The order by document and line; by one number where both fit."""
+    if len(doc) and int(doc.max()) - int(doc.min()) < 1 << 36 and int(line.max()) < 1 << 26:
+        return np.argsort((doc - doc.min()) << 26 | line.astype(np.int64))
+    return np.lexsort((line, doc))
+
+
 def _edges(key: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin."""
     return np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
@@ -292,8 +304,9 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
             bounds, number, m, marks = line_order(owner, token, len(row), rarity.value)
             # a set that is similar but not equal has t / (1 - t) tokens at least
             by, rare, at = prefixes(bounds, number, m, np.flatnonzero(alone & (count > 0) & (m * (1 - t) >= t - 1e-9)), t)
-            to = (words.mix(rare) % _U(buckets)).astype(np.int32)
-            order = np.lexsort((rare, to))
+            place = words.mix(rare)
+            to = (place % _U(buckets)).astype(np.int64)
+            order = np.argsort(to << 40 | (place >> _U(24)).astype(np.int64))  # those of a token together
             by, rare, at, to = by[order], rare[order], at[order], to[order]
             posts = {"token": rare, "a": marks[by, 0], "b": marks[by, 1], "doc": doc[by], "line": line[by], "m": m[by], "at": at, "ask": np.ones(len(by), np.uint8)}
             cut = np.searchsorted(to, np.arange(buckets + 1))
