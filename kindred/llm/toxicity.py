@@ -37,6 +37,8 @@ PER_CLASS, KEPT = {1: 2500, 0: 4500}, 1_000_000
 #: What the fit is bounded by: landmarks among words that tell toxic texts and among frequent words, rounds, sentences of clean texts in a round (the largest margins), of toxic texts (all, one each).
 INSULTS, CLEAN, ROUNDS, CLEAN_SENTENCES = 40, 24, 4, 6000
 THRESHOLD = 0.3
+#: Bytes of text that are scored at once.
+PIECE = 1 << 21
 
 
 def codes(items: list[str], width: int = WINDOW) -> np.ndarray:
@@ -387,7 +389,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
 
     def run(batches):
         known, value = np.zeros(0, np.uint64), np.zeros(0)
-        for batch in common.pieces(batches, 1):
+        for batch in common.pieces(batches, 1, PIECE):
             n = batch.num_rows
             if model is None:
                 p = np.zeros(n)
