@@ -106,7 +106,7 @@ def write_split(lists: DataFrame, path: str, of) -> None:
 def write_in_order(rows: DataFrame, path: str, by: str, columns: dict[str, str]) -> None:
     """Rows in the order of a column, file after file; ``columns``: what is written, under which names."""
     out = rows.orderBy(by).select(*[F.col(c).alias(n) for c, n in columns.items()])
-    out.write.mode("overwrite").options(sep="\t", header=True, emptyValue="", quote="").csv(path)
+    out.write.mode("overwrite").options(sep="\t", header=True, emptyValue="", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_ids(rows: DataFrame, path: str, column: str = "id") -> None:

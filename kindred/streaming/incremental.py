@@ -30,9 +30,11 @@ def run(spark: SparkSession, source: str, targets: DataFrame, out: str, checkpoi
     rows = spark.readStream.schema(ENTITY).options(**DIALECT).option("maxFilesPerTrigger", files_per_batch).csv(source)
 
     def batch(part: DataFrame, number: int) -> None:
-        matches, candidates = link(filled(part), targets, **options)
+        held = filled(part).persist()  # read once, for all strategies
+        matches, candidates = link(held, targets, **options)
         both = matches.join(candidates.select("id", F.col("members").alias("candidates")), "id")
         both.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        held.unpersist()
 
     query = rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
