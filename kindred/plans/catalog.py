@@ -6,8 +6,6 @@ write lists as joined strings and round quotients.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from kindred.operators import blocking as B
 from kindred.operators import evaluate as E
 from kindred.operators import features, matcher, profile, score
 from kindred.operators.representation import represent
-from kindred.session import shared_dir
+from kindred.session import folder
 from kindred.sources import tsv
 from kindred.streaming import incremental
 
@@ -49,7 +47,7 @@ def _pairs(spark: SparkSession, sf_dir: str, view: str = "part") -> DataFrame:
 
 
 def _folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/kindred-{uuid.uuid4().hex}"
+    return folder(spark, "kindred")
 
 
 def _join(column: str):
@@ -292,10 +290,10 @@ def matched_trees(spark, sf_dir, rounds=150):
 def linked_incrementally(spark, sf_dir):
     """Entities linked in micro-batches, read from files."""
     queries, targets = V.sides(V.entities(spark, sf_dir))
-    folder = _folder(spark)
-    tsv.write_entities(queries.repartition(2), f"{folder}/in")
-    incremental.run(spark, f"{folder}/in", represent(targets), f"{folder}/out", f"{folder}/checkpoint", most=CAP, threshold=0.6, exact_edits=False)
-    return incremental.done(spark, f"{folder}/out").select("id", _join("members").alias("members"), _join("candidates").alias("candidates"))
+    base = _folder(spark)
+    tsv.write_entities(queries.repartition(2), f"{base}/in")
+    incremental.run(spark, f"{base}/in", represent(targets), f"{base}/out", f"{base}/checkpoint", most=CAP, threshold=0.6, exact_edits=False)
+    return incremental.done(spark, f"{base}/out").select("id", _join("members").alias("members"), _join("candidates").alias("candidates"))
 
 
 def _pilot(spark, sf_dir):
@@ -376,11 +374,11 @@ def smoke_then_full(spark, sf_dir, most=100):
 def resumed_run(spark, sf_dir):
     """Files that come in two runs, of which the second takes up where the first ended."""
     queries, targets = V.sides(V.entities(spark, sf_dir))
-    folder, half = _folder(spark), X.bucket(F.col("entity_id")) < 50
+    base, half = _folder(spark), X.bucket(F.col("entity_id")) < 50
     for part in (queries.where(half), queries.where(~half)):
-        tsv.write_entities(part.coalesce(1), f"{folder}/in", mode="append")
-        incremental.run(spark, f"{folder}/in", represent(targets), f"{folder}/out", f"{folder}/checkpoint", most=CAP, threshold=0.6, exact_edits=False)
-    return incremental.done(spark, f"{folder}/out").select("id", _join("members").alias("members"))
+        tsv.write_entities(part.coalesce(1), f"{base}/in", mode="append")
+        incremental.run(spark, f"{base}/in", represent(targets), f"{base}/out", f"{base}/checkpoint", most=CAP, threshold=0.6, exact_edits=False)
+    return incremental.done(spark, f"{base}/out").select("id", _join("members").alias("members"))
 
 
 def stage_profile(spark, sf_dir):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import hashlib
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -48,3 +51,31 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return found.rstrip("/")
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, for tables that results read; ``clean`` deletes it, and so does the end of the program."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    if not hasattr(context, "_kindred_folders"):
+        context._kindred_folders = []
+        atexit.register(_at_exit, spark)
+    context._kindred_folders.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> int:
+    """Deletes the folders that were made so far, and tells how many. Results that were not written elsewhere can't be read any more."""
+    context = spark.sparkContext
+    paths = getattr(context, "_kindred_folders", [])
+    made = list(paths)
+    paths.clear()
+    for path in made:
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+    return len(made)
+
+
+def _at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        clean(spark)

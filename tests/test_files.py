@@ -91,3 +91,13 @@ def test_profile(spark):
     assert set(rows) == {"one", "two", "all"} and rows["all"]["share"] == 1.0
     assert rows["one"]["share"] + rows["two"]["share"] == pytest.approx(1.0) and rows["all"]["memory_mb"] > 0
     assert rows["all"]["projected_hours"] == pytest.approx(rows["all"]["seconds"] * 10 / 3600)
+
+
+def test_folders_are_deleted(spark, tmp_path):
+    from kindred import session
+
+    path = session.folder(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert session.clean(spark) >= 1 and session.clean(spark) == 0
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
