@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.session import shared_dir, ship
+from kindred.session import folder, ship
 
 #: Bytes of text that a Python step works on at once; a longer single text is taken whole.
 PIECE = 4 << 20
@@ -26,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it again, which cuts its lineage."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

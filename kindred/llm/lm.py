@@ -418,7 +418,7 @@ def fit(docs: DataFrame, text: str = "text", shards: int | None = None, order: i
         raise ValueError(f"order is 2 or 3, not {order}")
     spark = docs.sparkSession
     rows = docs.select(F.col(text).alias("text"))
-    folder = f"{common.shared_dir(spark)}/lm-{uuid.uuid4().hex}"
+    folder = common.folder(spark, "lm")
 
     def weigh(batches):
         total = np.zeros(CELLS, dtype=np.uint64)
