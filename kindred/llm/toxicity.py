@@ -303,8 +303,9 @@ def sentences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, obj
     hashes, text, word = units(column)
     data, offsets = words.text_buffer(column)
     starts, _ = words.spans(data, offsets)
-    ends = np.isin(data, np.frombuffer(b".!?\n", np.uint8))
-    sentence = np.cumsum(ends)[starts] + np.searchsorted(offsets, starts, side="right") if len(starts) else np.zeros(0, np.int64)
+    ends = np.zeros(256, dtype=bool)
+    ends[list(b".!?\n")] = True
+    sentence = np.searchsorted(np.flatnonzero(ends[data]), starts) + np.searchsorted(offsets, starts, side="right")
     own = int(sentence.max(initial=0)) + 1 + text[len(starts) :]  # a sentence of its own for what is joined in a text
     return hashes, text, np.concatenate([sentence, own]), word
 
@@ -324,7 +325,9 @@ def learn(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
     hashes, text, sentence, word = sentences(pa.array(texts, pa.large_string()))
     distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
     names = [word(i) for i in at]
-    seen = np.unique(np.stack([which, text]), axis=1)  # a word counts once in a text
+    del hashes
+    seen = np.unique(which << 32 | text)  # a word counts once in a text
+    seen = seen >> 32, seen & 0xFFFFFFFF
     toxic = labels[seen[1]] > 0
     pos, neg = np.bincount(seen[0][toxic], minlength=len(distinct)), np.bincount(seen[0][~toxic], minlength=len(distinct))
     positives, negatives = int((labels > 0).sum()), int((labels <= 0).sum())
@@ -355,6 +358,7 @@ def learn(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model | None:
     masked = disguised(bad, np.random.default_rng(seed))
     x_bad = model.features(codes(marked(bad + masked)))
     each = np.r_[np.ones(len(bad)), np.full(len(masked), 0.25 * len(bad) / max(1, len(masked)))]
+    del seen, toxic, mine, pairs_word, pairs_text
     margin = -neg.astype(np.float64)  # at first a clean sentence is decided by its rarest word, a toxic one by a word of the cover
     margin[insults] = 1 + pos[insults]
     clean = labels[text] <= 0
