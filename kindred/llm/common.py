@@ -111,7 +111,8 @@ def of_group(run):
     return (lambda left, right: tidy(left, right)) if run.__code__.co_argcount == 2 else lambda table: tidy(table)
 
 
-CHUNKS, PARTS = 64, 32
+#: Chunks of an array; groups in which the parts of very many tasks are added up first, and the number of tasks up to which that isn't needed.
+CHUNKS, PARTS, FEW = 64, 32, 1024
 
 
 def packed(array: np.ndarray) -> list[bytes]:
@@ -120,7 +121,7 @@ def packed(array: np.ndarray) -> list[bytes]:
 
 
 def combined(parts: DataFrame, kind: np.dtype, size: int, add=np.add) -> np.ndarray:
-    """One array of ``size`` numbers from many of (chunk, blob), each an array ``packed``: first in groups of parts, then all; only the whole comes to the driver."""
+    """One array of ``size`` numbers from many of (chunk, blob), each an array ``packed``: those of very many tasks first in groups; only the whole comes to the driver."""
     kind, bytes_ = np.dtype(kind), size // CHUNKS * np.dtype(kind).itemsize
 
     def merge(table: pa.Table) -> pa.Table:
@@ -130,9 +131,11 @@ def combined(parts: DataFrame, kind: np.dtype, size: int, add=np.add) -> np.ndar
         return pa.table({"chunk": table["chunk"][:1], "part": table["part"][:1], "blob": pa.array([pa.compress(total.tobytes(), codec="zstd", asbytes=True)], pa.binary())})
 
     ship(parts.sparkSession)
-    some = parts.select("chunk", F.pmod(F.xxhash64("blob"), F.lit(PARTS)).cast("int").alias("part"), "blob")
+    some = parts.select("chunk", F.lit(0).alias("part"), "blob")
+    if parts.rdd.getNumPartitions() > FEW:
+        some = some.withColumn("part", F.pmod(F.xxhash64("blob"), F.lit(PARTS)).cast("int"))
+        some = some.groupBy("chunk", "part").applyInArrow(of_group(merge), "chunk int, part int, blob binary").withColumn("part", F.lit(0))
     some = some.groupBy("chunk", "part").applyInArrow(of_group(merge), "chunk int, part int, blob binary")
-    some = some.withColumn("part", F.lit(0)).groupBy("chunk", "part").applyInArrow(of_group(merge), "chunk int, part int, blob binary")
     out = np.zeros((CHUNKS, size // CHUNKS), dtype=kind)
     for r in some.collect():  # a row for each chunk
         out[r["chunk"]] = np.frombuffer(pa.decompress(r["blob"], bytes_, codec="zstd"), dtype=kind)

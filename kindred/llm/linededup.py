@@ -117,10 +117,12 @@ def prefixes(bounds: np.ndarray, number: np.ndarray, m: np.ndarray, use: np.ndar
     at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     line = np.repeat(use, size)
     token = number[bounds[line] + at]
+    twice = np.flatnonzero(token >= _U(3) << _U(36))  # a token that occurs once pairs nothing
+    line, token, at = line[twice], token[twice], at[twice]
     if t < 2 / 3:  # sets that share one token alone may be similar
         return line, token, at
     many = np.flatnonzero(token >= hot)
-    last = np.minimum(m[line[many]] - 1, np.repeat(size, size)[many])  # the last position of the longer prefix
+    last = np.minimum(m[line[many]] - 1, np.repeat(size, size)[twice][many])  # the last position of the longer prefix
     more = last - at[many]
     first = np.repeat(many, more)
     second = at[first] + 1 + np.arange(len(first)) - np.repeat(np.cumsum(more) - more, more)
@@ -352,11 +354,14 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
     def token_sets(pairs: DataFrame) -> DataFrame:
         """(doc, line, tokens) of the lines of pairs, and of a few others that share their marks."""
         wanted = pairs.select("doc", "line").union(pairs.select("doc2", "line2"))
-        bitmap, bits = common.marked(wanted, ["doc", "line"], 2 * pairs.count())
-        sent = spark.sparkContext.broadcast(bitmap)
+        count = 2 * pairs.count()
+        bitmap, bits = common.marked(wanted, ["doc", "line"], count)
+        of_docs, bits_of_docs = common.marked(wanted, ["doc"], count)
+        sent, sent_docs = spark.sparkContext.broadcast(bitmap), spark.sparkContext.broadcast(of_docs)
 
         def run(batches):
-            for batch in common.pieces(batches, 1):
+            mine = (b.filter(pa.array(common.is_marked(sent_docs.value, common.cells([b.column(0).to_numpy()], bits_of_docs)))) for b in batches if b.num_rows)
+            for batch in common.pieces(mine, 1):
                 row, line, owner, token = line_words(batch.column(1))
                 doc = batch.column(0).to_numpy()[row]
                 use = common.is_marked(sent.value, common.cells([doc, line], bits))
@@ -375,14 +380,18 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
 
     def matched(pairs: DataFrame) -> DataFrame:
         """(doc, line) of the later lines of pairs whose whole sets are similar."""
-        pairs = common.kept(pairs.where("doc2 IS NOT NULL").select("doc", "line", "doc2", "line2").distinct(), "line-candidates")
+        pairs = pairs.where("doc2 IS NOT NULL").select("doc", "line", "doc2", "line2").distinct().join(copies, ["doc", "line"], "left_anti")
+        pairs = common.kept(pairs, "line-candidates")
         sets = token_sets(pairs)
         full = pairs.join(sets.withColumnRenamed("tokens", "y"), ["doc", "line"]).join(sets.selectExpr("doc AS doc2", "line AS line2", "tokens AS x"), ["doc2", "line2"])
         full = full.withColumn("n", F.size(F.array_intersect("x", "y")))
         return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
 
+    firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    # lines that equal an earlier one go, and need no other that is similar
+    copies = common.kept(lines.join(firsts, "key").where(F.struct("doc", "line") != F.col("first")).select("doc", "line"), "line-copies")
     gone = common.kept(matched(paired_rows), "line-matches")
-    again = paired_rows.where("doc IS NOT NULL AND doc2 IS NULL").select("doc", "line").distinct().join(gone, ["doc", "line"], "left_anti")
+    again = paired_rows.where("doc IS NOT NULL AND doc2 IS NULL").select("doc", "line").distinct().join(gone.union(copies), ["doc", "line"], "left_anti")
     again = common.kept(again, "lines-again")
     open_ = again.count()
     if open_:
@@ -398,8 +407,6 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
 
         lists = paired_rows.where("posts IS NOT NULL").select("n", "posts")
         gone = gone.union(matched(common.arrow(lists, whole, kinds)))
-    firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    copies = lines.join(firsts, "key").where(F.struct("doc", "line") != F.col("first")).select("doc", "line")
     return totals, copies.union(gone)
 
 
