@@ -388,6 +388,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         return full.where(F.col("n") >= F.lit(t) * (F.size("x") + F.size("y") - F.col("n")) - 1e-9).select("doc", "line").distinct()
 
     firsts = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
+    firsts = common.kept(firsts, "line-firsts")  # so that Spark can split the join where one line is very frequent
     # lines that equal an earlier one go, and need no other that is similar
     copies = common.kept(lines.join(firsts, "key").where(F.struct("doc", "line") != F.col("first")).select("doc", "line"), "line-copies")
     gone = common.kept(matched(paired_rows), "line-matches")
