@@ -101,3 +101,10 @@ def test_folders_are_deleted(spark, tmp_path):
     assert session.clean(spark) >= 1 and session.clean(spark) == 0
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def test_missed_pairs_are_written_in_order(spark, tmp_path):
+    lost = E.missed(spark.createDataFrame([("b", "y"), ("a", "x"), ("c", "z")], "s1_id string, eid string"), spark.createDataFrame([("c", "z")], "s1_id string, eid string"))
+    tsv.write_in_order(lost, f"{tmp_path}/m", "s1_id", {"s1_id": "source1_entity_id", "eid": "missed_entity_id"})
+    rows = spark.read.options(sep="\t", header=True).csv(f"{tmp_path}/m")
+    assert rows.columns == ["source1_entity_id", "missed_entity_id"] and sorted(tuple(r) for r in rows.collect()) == [("a", "x"), ("b", "y")]
