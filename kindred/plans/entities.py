@@ -16,7 +16,7 @@ DOCUMENTS = """
 SELECT concat(CASE doc_id % 3 WHEN 0 THEN 'S1-' WHEN 1 THEN 'S2-' ELSE 'S3-' END, lpad(CAST(doc_id AS {string}), 10, '0')) AS entity_id,
        CASE WHEN doc_id % 3 = 2 THEN translate(text, 'éèêçàâîôûäöüóíáñ', 'eeecaaiouaouoian') ELSE text END AS business_name,
        concat(CAST(10 + n_chars % 90 AS {string}), ' ', source, ' ', CAST(100000 + n_chars AS {string})) AS business_address,
-       CASE WHEN doc_id % 5 = 4 THEN 'xx' ELSE lang END AS country
+       CASE WHEN doc_id % 7 = 6 THEN 'xx' ELSE lang END AS country
 FROM documents
 """
 VIEWS = {"part": PART, "documents": DOCUMENTS}
