@@ -25,3 +25,10 @@ def test_pairs_ask_for_few_tokens(spark, monkeypatch):
     sides = [df.withColumn("addr_nums", df["addr_nums"].cast("array<string>")) for df in sides]
     assert [(r["s1_id"], r["eid"], r["mask"]) for r in B.pairs(*sides).collect()] == [("q1", "t1", B.BITS["S6"])]
     assert asked[0].count() == 1
+
+
+def test_tokens_are_listed_once(spark):
+    queries, targets = rows(spark, ("q1", "x", "red", "steel")), rows(spark, ("t1", "x", "redsteel", "iron"))
+    found = B.asked_tokens(queries, targets)
+    assert "Generate " not in found._jdf.queryExecution().optimizedPlan().toString()  # else each reader lists all tokens again
+    assert found.count() == 1
